@@ -102,8 +102,8 @@ def fill_missing_months(months: DataFrame) -> DataFrame:
     """Add a zero row for every month absent between the first and the last one."""
     following = F.lead("month_start").over(W.orderBy("month_start"))
     until = F.coalesce(F.add_months(following, -1), F.col("month_start"))
-    steps = F.sequence("month_start", until, F.expr("interval 1 month"))
-    filled = months.withColumn("_start", F.explode(steps))
+    steps = F.sequence("month_start", "_until", F.expr("interval 1 month"))
+    filled = months.withColumn("_until", until).withColumn("_start", F.explode(steps))
     real = F.col("_start") == F.col("month_start")
     return filled.select(
         F.year("_start").alias("yr"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # A lookup of at most this many rows (a key and a few attributes) is broadcast.
 BROADCAST_ROWS = 1_000_000
@@ -17,16 +17,20 @@ def within_rows(df: DataFrame, bound: int = BROADCAST_ROWS) -> bool:
 def attach(
     fact: DataFrame,
     lookup: DataFrame,
-    on: str | Sequence[str],
+    on: str | Sequence[str] | Column,
     how: str = "inner",
     bound: int = BROADCAST_ROWS,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Join a lookup that has one row per key.
 
     Counted small, the lookup is broadcast and the fact stays in place; beyond
-    the bound both sides shuffle and adaptive execution splits hot keys.
+    the bound both sides shuffle and adaptive execution splits hot keys. Where
+    counting the lookup would mean computing it, `sized_by` is a table that has
+    at least as many rows.
     """
-    side = F.broadcast(lookup) if within_rows(lookup, bound) else lookup
+    small = within_rows(lookup if sized_by is None else sized_by, bound)
+    side = F.broadcast(lookup) if small else lookup
     return fact.join(side, on, how)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from shelfstar.operators.calendar import dim_date, extend_calendar
 from shelfstar.operators.upsert import absent
 from shelfstar.plans import dims, facts
+from shelfstar.session import settle
 
 
 @dataclass(frozen=True)
@@ -50,11 +51,15 @@ class Star:
 def initial_load(
     src: Sources, days: DataFrame, holidays: DataFrame, as_of, since: str = dims.HISTORY_START
 ) -> Star:
-    """All dimensions and facts, lazily; write each table once with `sources.tables`."""
-    date = dim_date(days, holidays)
-    book = dims.dim_book(src.titles, since)
-    members = dims.dim_members(src.members, as_of)
-    suppliers = dims.dim_suppliers(src.suppliers)
+    """All dimensions and facts.
+
+    The dimensions are computed once, since every fact looks its keys up in
+    them; the facts are lazy, to be written with `sources.tables`.
+    """
+    date = settle(dim_date(days, holidays))
+    book = settle(dims.dim_book(src.titles, since))
+    members = settle(dims.dim_members(src.members, as_of))
+    suppliers = settle(dims.dim_suppliers(src.suppliers))
     return Star(
         date,
         book,
@@ -75,10 +80,10 @@ def incremental_load(
 
     Applied again after its rows were added, the same batch gives no rows.
     """
-    new_days = extend_calendar(star.dim_date, first_day, last_day)
-    new_books = dims.new_books(star.dim_book, batch.titles, since)
-    new_members = dims.new_members(star.dim_members, batch.members, as_of)
-    new_suppliers = dims.new_suppliers(star.dim_suppliers, batch.suppliers)
+    new_days = settle(extend_calendar(star.dim_date, first_day, last_day))
+    new_books = settle(dims.new_books(star.dim_book, batch.titles, since))
+    new_members = settle(dims.new_members(star.dim_members, batch.members, as_of))
+    new_suppliers = settle(dims.new_suppliers(star.dim_suppliers, batch.suppliers))
     date = star.dim_date.unionByName(new_days)
     book = star.dim_book.unionByName(new_books)
     members = star.dim_members.unionByName(new_members)

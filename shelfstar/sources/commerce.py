@@ -218,6 +218,24 @@ class Commerce:
             .alias("order_status"),
         )
 
+    def payments(self) -> DataFrame:
+        """Orders as payments whose amount is still to be derived."""
+        status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+        return self.table("orders").select(
+            F.col("o_orderkey").alias("payment_id"),
+            F.col("o_custkey").alias("member_id"),
+            F.to_date("o_orderdate").alias("payment_date"),
+            F.lit(None).cast("decimal(18,2)").alias("pay_amount"),
+            F.when(status == "F", "Tng")
+            .when(status == "O", "Cash")
+            .otherwise("Duitnow")
+            .alias("payment_method"),
+            F.when(priority.isin("1-URGENT", "2-HIGH"), "Fines")
+            .when(priority == "3-MEDIUM", "Membership Registration")
+            .otherwise("Book Sale")
+            .alias("payment_type"),
+        )
+
     def shifts(self) -> DataFrame:
         rows = [(name, hour * 3600) for name, hour in SHIFT_HOURS]
         return self.spark.createDataFrame(rows, "shift_id string, start_second int")

@@ -1,2 +1,244 @@
-QUERIES: dict = {}
-ORACLE: dict = {}
+"""Row and table rules."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from shelfstar.catalog.changes import all_fines, book_history
+from shelfstar.catalog.changes import _BOOK_HISTORY as BOOK_HISTORY_SQL, _FINES as FINES_SQL
+from shelfstar.catalog.common import AS_OF, cents, pct_sql, query, ratio_sql, with_roles
+from shelfstar.operators.profile import range_profile, value_profile
+from shelfstar.plans import rules
+from shelfstar.sources.commerce import SHIFT_HOURS, WORK_SECONDS, Commerce
+
+
+def expired_members(src: Commerce) -> DataFrame:
+    """Every member as active first, so that the rule decides."""
+    signed_up = src.members().withColumn("member_status", F.lit("active"))
+    return rules.expire_memberships(signed_up, AS_OF).select("member_id", "member_status")
+
+
+def stale_status(src: Commerce) -> DataFrame:
+    signed_up = src.members().withColumn("member_status", F.lit("active"))
+    return rules.status_mismatches(signed_up, AS_OF)
+
+
+def total_guard(src: Commerce) -> DataFrame:
+    """Only received orders were recomputed; the others still state their own total."""
+    orders, details, titles = src.purchase_orders(), src.purchase_details(), src.titles()
+    received = src.order_dates().where(F.col("order_status") == "Received")
+    current = rules.recompute_totals(orders, details, titles, received)
+    return rules.total_violations(current, details, titles)
+
+
+def orders_without_lines(src: Commerce) -> DataFrame:
+    return rules.check_foreign_key(
+        src.table("orders"), "o_orderkey", "o_orderkey", src.table("lineitem"), "l_orderkey", "order has lines"
+    )
+
+
+def duplicate_lines(src: Commerce) -> DataFrame:
+    return rules.check_unique(src.table("lineitem"), ["l_orderkey", "l_linenumber"], "line number")
+
+
+def open_returns(src: Commerce) -> DataFrame:
+    return rules.check_not_null(src.loan_lines(), "borrow_id", ["borrow_date", "return_date"])
+
+
+def fine_rules(src: Commerce) -> DataFrame:
+    """Fines against the rules; here the damage fines of cheap books carry no amount."""
+    cheaper = all_fines(src).withColumn(
+        "fine_amount",
+        F.when(F.col("fine_type") == "Damage", F.col("fine_amount") - 1000).otherwise(
+            F.col("fine_amount")
+        ),
+    )
+    return rules.fine_violations(cheaper)
+
+
+def payment_rules(src: Commerce) -> DataFrame:
+    """Payments against the rules; urgent ones come in by a way that is not allowed."""
+    made = src.payments().withColumn(
+        "pay_amount", F.when(F.col("payment_type") == "Fines", F.lit(0)).otherwise(50)
+    )
+    urgent = F.col("payment_method") == "Duitnow"
+    return rules.payment_violations(
+        made.withColumn(
+            "payment_method", F.when(urgent, "Cheque").otherwise(F.col("payment_method"))
+        )
+    )
+
+
+QUERIES = {
+    "rule_expire_membership": query(expired_members),
+    "rule_member_status": query(stale_status),
+    "rule_titles": query(lambda s: rules.title_violations(s.titles(), AS_OF)),
+    "copy_status": query(lambda s: rules.copy_status(s.copies(), s.loan_lines())),
+    "rule_unavailable_copies": query(
+        lambda s: rules.unavailable_copies(s.copies(), book_history(s))
+    ),
+    "attendance_status": query(
+        lambda s: rules.attendance_status(s.attendance(), s.shifts()).select(
+            "attendance_id", "staff_id", "attendance_status"
+        )
+    ),
+    "weekly_hours": query(lambda s: rules.weekly_hours(s.attendance())),
+    "rule_weekly_limit": query(lambda s: rules.weekly_limit_violations(s.attendance())),
+    "rule_membership_window": query(
+        lambda s: rules.membership_violations(s.loans(), s.members())
+    ),
+    "rule_fines": query(fine_rules),
+    "rule_payments": query(payment_rules),
+    "rule_total_guard": query(total_guard),
+    "rule_discount_window": query(
+        lambda s: rules.discount_violations(s.book_orders(), s.discounts())
+    ),
+    "sales_amounts": query(
+        lambda s: rules.sales_amounts(
+            s.sales_details(), s.book_orders(), s.titles(), s.discounts()
+        ).select("sales_id", "quantity_sold", "discount_amount", "total_amount")
+    ),
+    "rule_orphans": query(orders_without_lines),
+    "rule_unique": query(duplicate_lines),
+    "rule_not_null": query(open_returns),
+    "status_profile": query(lambda s: value_profile(s.loan_lines(), "return_status")),
+    "range_profile": query(lambda s: range_profile(s.members(), "member_age")),
+}
+
+# --- SQL ----------------------------------------------------------------------
+
+_SHIFT_ROWS = ", ".join(f"('{name}', {hour * 3600})" for name, hour in SHIFT_HOURS)
+_WEEKS = f"""
+w AS (SELECT user_id AS staff_id, CAST(date_trunc('week', ts) AS DATE) AS week_start,
+  CAST(sum(CAST(trunc(value * {WORK_SECONDS}) AS BIGINT) // 3600) AS BIGINT) AS hours
+  FROM events GROUP BY 1, 2)"""
+
+
+def _violation(rule: str, key: str, message: str, source: str) -> str:
+    return (
+        f"SELECT '{rule}' AS rule, CAST({key} AS VARCHAR) AS key, {message} AS message FROM {source}"
+    )
+
+
+ORACLE = {
+    "rule_expire_membership": f"""{with_roles("members")}
+SELECT member_id, CASE WHEN expire_date <= DATE '{AS_OF}' THEN 'expire' ELSE 'active' END
+  AS member_status FROM members""",
+    "rule_member_status": with_roles("members")
+    + "\n"
+    + _violation(
+        "member status",
+        "member_id",
+        "'status contradicts expiry'",
+        f"members WHERE expire_date < DATE '{AS_OF}'",
+    ),
+    "rule_titles": _violation(
+        "title year",
+        "p_partkey",
+        "'publication year is in the future'",
+        "part WHERE 1960 + p_size > 2001",
+    )
+    + "\nUNION ALL\n"
+    + _violation(
+        "title popularity",
+        "p_partkey",
+        "'popularity must be between 1.0 and 5.0'",
+        "part WHERE p_size < 10 OR p_size > 50",
+    )
+    + "\nUNION ALL\n"
+    + _violation(
+        "title purchase price",
+        "p_partkey",
+        "'price must be zero or more'",
+        "part WHERE p_retailprice < 100",
+    ),
+    "copy_status": """
+SELECT p_partkey AS copy_id, p_partkey AS book_id, CASE
+  WHEN p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'N' AND l_linestatus <> 'F')
+    THEN 'borrowed' WHEN p_brand = 'Brand#25' THEN 'unavailable'
+  WHEN p_brand = 'Brand#24' THEN 'reserved' ELSE 'available' END AS book_status FROM part""",
+    "rule_unavailable_copies": f"""WITH {BOOK_HISTORY_SQL}
+SELECT p_partkey AS copy_id, p_partkey AS book_id, CASE
+  WHEN EXISTS (SELECT 1 FROM history h WHERE h.book_id = p_partkey AND curr_ind = 'Y'
+       AND book_status = 'UNAVAILABLE') OR p_brand = 'Brand#25' THEN 'unavailable'
+  WHEN p_brand = 'Brand#24' THEN 'reserved' ELSE 'available' END AS book_status FROM part""",
+    "attendance_status": f"""
+SELECT event_id AS attendance_id, user_id AS staff_id,
+  CASE WHEN hour(ts) * 3600 + minute(ts) * 60 + floor(second(ts)) > start_second THEN 'Late'
+       ELSE 'Present' END AS attendance_status
+FROM events JOIN (VALUES {_SHIFT_ROWS}) AS s(shift_id, start_second) ON shift_id = event_type""",
+    "weekly_hours": f"WITH {_WEEKS} SELECT staff_id, week_start, hours FROM w",
+    "rule_weekly_limit": f"WITH {_WEEKS} "
+    + _violation(
+        "weekly hours",
+        "concat(staff_id, '|', week_start)",
+        "concat(hours, ' hours exceed 40')",
+        "w WHERE hours > 40",
+    ),
+    "rule_membership_window": f"""{with_roles("loans", "members")}
+{_violation("membership window", "borrow_id", "'loan date is outside the membership'",
+            "loans JOIN members USING (member_id) WHERE borrow_date < registration_date OR borrow_date > expire_date")}""",
+    "rule_fines": FINES_SQL
+    + "\n"
+    + _violation(
+        "fine amount",
+        "fine_id",
+        "'fine amount must be positive'",
+        "fines WHERE fine_type = 'Damage' AND fine_amount <= 1000",
+    ),
+    "rule_payments": _violation(
+        "payment method",
+        "o_orderkey",
+        "'invalid payment method'",
+        "orders WHERE o_orderstatus NOT IN ('F', 'O')",
+    )
+    + "\nUNION ALL\n"
+    + _violation(
+        "payment amount",
+        "o_orderkey",
+        "'payment amount must be positive'",
+        "orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')",
+    ),
+    "rule_total_guard": f"""{with_roles("po")},
+t AS (SELECT po_id, CAST(sum(lines.quantity * (CAST(p_retailprice AS DECIMAL(18,2)) - 100))
+        AS DECIMAL(18,2)) AS total FROM lines JOIN part ON p_partkey = book_id GROUP BY 1)
+{_violation("purchase total", "po.po_id", "concat('total must equal ', total)",
+            "po JOIN t ON t.po_id = po.po_id WHERE flag = 'N' AND total <> total_amount")}""",
+    "rule_discount_window": f"""{with_roles("discounts")}
+{_violation("discount window", "o_orderkey",
+            "concat('discount ', discount_id, ' not active on ', CAST(o_orderdate AS DATE))",
+            "orders JOIN discounts USING (o_orderpriority) WHERE CAST(o_orderdate AS DATE) < discount_start OR CAST(o_orderdate AS DATE) > discount_end")}""",
+    "sales_amounts": f"""{with_roles("sales", "discounts")},
+p AS (SELECT sales_id, quantity, {cents("sales_price * quantity")} AS gross,
+    coalesce(discount_rate, 0) AS rate, coalesce(sales_date < discount_start
+      OR sales_date > discount_end, FALSE) AS void
+  FROM sales LEFT JOIN discounts ON discounts.o_orderpriority = sales.o_orderpriority),
+a AS (SELECT *, {ratio_sql("gross * rate", "10000")} AS cut FROM p)
+SELECT sales_id, quantity AS quantity_sold, CASE WHEN NOT void THEN cut END AS discount_amount,
+  CASE WHEN NOT void THEN CAST(gross - round(cut * 100) AS DOUBLE) / 100 END AS total_amount FROM a""",
+    "rule_orphans": _violation(
+        "order has lines",
+        "o_orderkey",
+        "concat('no parent for o_orderkey ', o_orderkey)",
+        "orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)",
+    ),
+    "rule_unique": _violation(
+        "line number",
+        "concat(l_orderkey, '|', l_linenumber)",
+        "concat(n, ' rows')",
+        "(SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)",
+    ),
+    "rule_not_null": f"{with_roles('loans')} "
+    + _violation(
+        "return_date not null",
+        "borrow_id",
+        "'return_date is required'",
+        "loans WHERE return_date IS NULL",
+    ),
+    "status_profile": f"""{with_roles("loans")},
+c AS (SELECT return_status, count(*) AS n FROM loans GROUP BY 1)
+SELECT return_status, n AS cnt, {pct_sql("n", "sum(n) OVER ()")} AS pct FROM c""",
+    "range_profile": f"""{with_roles("members")}
+SELECT count(*) AS rows, min(member_age) AS min_value, max(member_age) AS max_value,
+  {ratio_sql("sum(member_age)", "count(member_age)")} AS avg_value FROM members""",
+}

@@ -137,8 +137,8 @@ ROLES = {
         "SELECT c_custkey AS member_id, c_name AS member_name, "
         f"{GENDER_SQL} AS member_gender, {CODE_SQL} AS gender_code, "
         "CAST(floor((c_acctbal + 1000) / 100) AS INTEGER) AS member_age, city, state, "
-        f"DATE '{MEMBERSHIP_START}' + c_nationkey * 20 AS registration_date, "
-        f"CAST(DATE '{MEMBERSHIP_START}' + c_nationkey * 20 + INTERVAL 72 MONTH AS DATE) "
+        f"DATE '{MEMBERSHIP_START}' + c_nationkey * 40 AS registration_date, "
+        f"CAST(DATE '{MEMBERSHIP_START}' + c_nationkey * 40 + INTERVAL 72 MONTH AS DATE) "
         "AS expire_date FROM customer JOIN places ON c_nationkey = n_nationkey"
     ),
     "sups": (

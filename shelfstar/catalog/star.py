@@ -25,6 +25,7 @@ from shelfstar.sources.commerce import CALENDAR_FIRST, CALENDAR_LAST, Commerce
 SINCE = "1995-01-01"
 # The load tests split the data here: earlier rows are in the warehouse already.
 CUT_DAY, CUT_YEAR = "2000-01-01", 2000
+KNOWN_BEFORE = "1996-03-01"
 
 
 def sources(src: Commerce) -> Sources:
@@ -98,7 +99,7 @@ def known_books(src: Commerce) -> DataFrame:
 
 
 def known_members(src: Commerce) -> DataFrame:
-    early = src.members().where(F.col("registration_date") < "1995-01-01")
+    early = src.members().where(F.col("registration_date") < KNOWN_BEFORE)
     return dims.dim_members(early, AS_OF)
 
 
@@ -331,12 +332,12 @@ FROM sups JOIN supplier_keys USING (supplier_id)""",
     + "\n"
     + _member_sql(
         _new_key(
-            "SELECT count(*) FROM members WHERE registration_date < DATE '1995-01-01'", "member_id"
+            f"SELECT count(*) FROM members WHERE registration_date < DATE '{KNOWN_BEFORE}'", "member_id"
         ),
         "'X'",
         "state",
         _MEMBER_STATUS,
-        "members WHERE registration_date >= DATE '1995-01-01'",
+        f"members WHERE registration_date >= DATE '{KNOWN_BEFORE}'",
     ),
     "dim_suppliers_new_keys": f"""{with_roles("sups")}
 SELECT {_new_key("SELECT count(*) FROM sups WHERE state = 'ASIA'", "supplier_id")} AS supplier_key,

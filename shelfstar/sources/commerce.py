@@ -20,6 +20,8 @@ DISCOUNT_START = "1995-01-01"
 # Which market segment stands for which gender.
 FEMALE_SEGMENTS = ("BUILDING", "HOUSEHOLD")
 MALE_SEGMENTS = ("AUTOMOBILE", "MACHINERY")
+# Seconds of work per unit of an event value.
+WORK_SECONDS = 240
 # Shift start hour per event type.
 SHIFT_HOURS = (("click", 9), ("error", 12), ("purchase", 15), ("signup", 20), ("view", 9))
 
@@ -65,7 +67,7 @@ class Commerce:
 
     def members(self) -> DataFrame:
         c = self.table("customer")
-        registered = F.date_add(F.lit(MEMBERSHIP_START).cast("date"), F.col("c_nationkey") * 20)
+        registered = F.date_add(F.lit(MEMBERSHIP_START).cast("date"), F.col("c_nationkey") * 40)
         expires = F.add_months(registered, 72)
         return c.join(self.places(), F.col("c_nationkey") == F.col("n_nationkey")).select(
             F.col("c_custkey").alias("member_id"),
@@ -241,8 +243,8 @@ class Commerce:
         return self.spark.createDataFrame(rows, "shift_id string, start_second int")
 
     def attendance(self) -> DataFrame:
-        """Events as staff attendance: `value` minutes of work from the event time."""
-        seconds = (F.col("value") * 60).cast("bigint")
+        """Events as staff attendance; `value` gives the length of the work."""
+        seconds = (F.col("value") * WORK_SECONDS).cast("bigint")
         return self.table("events").select(
             F.col("event_id").alias("attendance_id"),
             F.col("user_id").alias("staff_id"),

@@ -24,8 +24,12 @@ FIXED_HOLIDAYS = (
 
 def fixed_holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
     """One row per fixed-date holiday and year."""
-    rules = spark.createDataFrame(
-        FIXED_HOLIDAYS, "month int, day int, festive_event string, holiday_type string, since int"
+    values = ", ".join(
+        f'({month}, {day}, "{name}", "{kind}", {since})'
+        for month, day, name, kind, since in FIXED_HOLIDAYS
+    )
+    rules = spark.sql(
+        f"SELECT * FROM VALUES {values} AS r(month, day, festive_event, holiday_type, since)"
     )
     years = F.explode(F.sequence(F.lit(first_year), F.lit(last_year)))
     return (
@@ -101,9 +105,9 @@ def dim_date(days: DataFrame, holidays: DataFrame, first_key: int | Column = FIR
 
 def extend_calendar(dim: DataFrame, first, last) -> DataFrame:
     """Days of first..last that the calendar lacks, as regular days."""
-    spark = dim.sparkSession
-    days = days_between(spark, first, last).join(dim.select("cal_date"), "cal_date", "left_anti")
-    none = spark.createDataFrame([], "cal_date date, festive_event string")
+    every = days_between(dim.sparkSession, first, last)
+    days = every.join(dim.select("cal_date"), "cal_date", "left_anti")
+    none = every.where(F.lit(False)).select("cal_date", F.lit("").alias("festive_event"))
     top = dim.agg((F.max("date_key") + 1).alias("_start"))
     fresh = dim_date(days, none, first_key=0)
     return (

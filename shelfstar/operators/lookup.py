@@ -34,7 +34,7 @@ def attach(
     return fact.join(side, on, how)
 
 
-def sum_by_attribute(
+def attach_folded(
     fact: DataFrame,
     lookup: DataFrame,
     on: str,
@@ -43,19 +43,31 @@ def sum_by_attribute(
     how: str = "inner",
     bound: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Sum `measures` by `by` plus every attribute of `lookup`.
+    """Attach a lookup to rows that are going to be summed by `by` and its attributes.
 
-    With a small lookup the attributes arrive before the only aggregation, so
-    the shuffle carries attribute groups. With a large one the fact is first
-    reduced to (by, key), which folds hot keys before they meet the join.
+    A small lookup is broadcast and the rows stay as they are. Before a large
+    one the fact is reduced to (by, key), which folds hot keys ahead of the
+    shuffled join.
     """
-    attributes = [c for c in lookup.columns if c != on]
     if within_rows(lookup, bound):
-        joined = fact.join(F.broadcast(lookup), on, how)
-    else:
-        joined = _sums(fact, [*by, on], measures).join(lookup, on, how)
+        return fact.join(F.broadcast(lookup), on, how)
+    return _sums(fact, [*by, on], measures).join(lookup, on, how)
+
+
+def sum_by_attribute(
+    fact: DataFrame,
+    lookup: DataFrame,
+    on: str,
+    by: Sequence[str],
+    measures: Sequence[str],
+    how: str = "inner",
+    bound: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Sum `measures` by `by` plus every attribute of `lookup`."""
+    attributes = [c for c in lookup.columns if c != on]
+    joined = attach_folded(fact, lookup, on, by, measures, how, bound)
     return _sums(joined, [*by, *attributes], measures)
 
 
-def _sums(df, keys, measures):
+def _sums(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])

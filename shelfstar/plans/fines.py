@@ -40,7 +40,8 @@ def derive_fines(
     """Lost, late and sampled damage fines of the loans of a period, all unpaid.
 
     One pass over the loans; a loan may give a late and a damage fine. Fines
-    whose (borrow_id, fine_type) is in `present` are left out.
+    whose (borrow_id, fine_type) is in `present` are left out. The rows are
+    settled before they are numbered, so the loans are read once.
     """
     prices = attach(copies.select("copy_id", "book_id"), titles.select("book_id", price), "book_id")
     status, returned = F.upper("return_status"), F.col("return_date")
@@ -74,7 +75,7 @@ def derive_fines(
     if present is not None:
         rows = absent(rows, present, ["borrow_id", "fine_type"])
     keyed = rows.withColumn("_id", joined_key(F.col("borrow_id"), F.col("fine_type")))
-    return assign_keys(keyed, "_id", "fine_key").select(
+    return assign_keys(settle(keyed), "_id", "fine_key").select(
         business_id("F", F.col("fine_key") - 100000, 6).alias("fine_id"),
         "borrow_id",
         "member_id",
@@ -98,6 +99,7 @@ def allocate_payments(fines: DataFrame, payments: DataFrame) -> DataFrame:
     unpaid = fines
     if "fine_status" in fines.columns:
         unpaid = fines.where(F.col("fine_status") == UNPAID)
+    unpaid = settle(unpaid.select("member_id", "fine_id", "fine_type", "fine_amount", "fine_date"))
     lost, idle = _serve(unpaid.where(F.col("fine_type") == LOST), payments)
     other, _ = _serve(unpaid.where(F.col("fine_type") != LOST), idle)
     return lost.unionByName(other)

@@ -89,12 +89,16 @@ def month_stats(
         .withColumn("net_copies_available", F.col("total_copies") - F.col("active_loans_end"))
         .join(F.broadcast(month_flags(dim_date)), "month_start", "left")
         .transform(with_seasonal_index)
-        .withColumn("quarter_num", quarter_number(F.col("mon")))
-        .withColumn("prev_month", previous("borrow_cnt", order, per_year))
+        .withColumns(
+            {
+                "quarter_num": quarter_number(F.col("mon")),
+                "prev_month": previous("borrow_cnt", order, per_year),
+                "moving_avg_3": moving_average("borrow_cnt", order, per_year),
+            }
+        )
         .withColumn(
             "pct_vs_prev", count_change_percent(F.col("borrow_cnt"), F.col("prev_month"))
         )
-        .withColumn("moving_avg_3", moving_average("borrow_cnt", order, per_year))
     )
 
 

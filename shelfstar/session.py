@@ -13,6 +13,8 @@ SETTINGS = {
     # Shuffled lookups against a hot key are split at run time.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Call sites are not recorded per column expression; plans are built faster.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -239,8 +239,8 @@ class Commerce:
         )
 
     def shifts(self) -> DataFrame:
-        rows = [(name, hour * 3600) for name, hour in SHIFT_HOURS]
-        return self.spark.createDataFrame(rows, "shift_id string, start_second int")
+        rows = ", ".join(f"('{name}', {hour * 3600})" for name, hour in SHIFT_HOURS)
+        return self.spark.sql(f"SELECT * FROM VALUES {rows} AS s(shift_id, start_second)")
 
     def attendance(self) -> DataFrame:
         """Events as staff attendance; `value` gives the length of the work."""

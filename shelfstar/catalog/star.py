@@ -20,6 +20,7 @@ from shelfstar.operators import calendar
 from shelfstar.plans import dims, facts
 from shelfstar.plans.load import Sources, incremental_load, initial_load, row_counts
 from shelfstar.plans.trend import trend_month
+from shelfstar.session import settle
 from shelfstar.sources.commerce import CALENDAR_FIRST, CALENDAR_LAST, Commerce
 
 SINCE = "1995-01-01"
@@ -70,14 +71,14 @@ def purchase_fact(src: Commerce) -> DataFrame:
         src.purchase_orders(),
         src.purchase_details(),
         src.calendar(),
-        _books(src),
-        dims.dim_suppliers(src.suppliers()),
+        settle(_books(src)),
+        settle(dims.dim_suppliers(src.suppliers())),
     )
 
 
 def _borrowing(build, src: Commerce) -> DataFrame:
-    members = dims.dim_members(src.members(), AS_OF)
-    return build(src.loans(), src.copies(), src.calendar(), members, _books(src), AS_OF)
+    members = settle(dims.dim_members(src.members(), AS_OF))
+    return build(src.loans(), src.copies(), src.calendar(), members, settle(_books(src)), AS_OF)
 
 
 def sales_fact(src: Commerce, load: str = "initial") -> DataFrame:
@@ -87,8 +88,8 @@ def sales_fact(src: Commerce, load: str = "initial") -> DataFrame:
         src.titles(),
         src.discounts(),
         src.calendar(),
-        dims.dim_members(src.members(), AS_OF),
-        _books(src),
+        settle(dims.dim_members(src.members(), AS_OF)),
+        settle(_books(src)),
         load,
     )
 

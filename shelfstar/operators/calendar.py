@@ -76,14 +76,13 @@ def dim_date(days: DataFrame, holidays: DataFrame, first_key: int | Column = FIR
     year, month = F.year(d), F.month(d)
     quarter = F.concat(F.lit("Q"), quarter_number(month).cast("string"))
     weekday = F.dayofweek(d).between(2, 6)
-    first = days.agg(F.min("cal_date").alias("_first"))
+    first = days.agg(F.min("cal_date")).scalar()
     holiday = holidays.groupBy("cal_date").agg(F.min("festive_event").alias("_event"))
     base = first_key if isinstance(first_key, Column) else F.lit(first_key)
     return (
-        days.crossJoin(F.broadcast(first))
-        .join(F.broadcast(holiday), "cal_date", "left")
+        days.join(F.broadcast(holiday), "cal_date", "left")
         .select(
-            (base + F.datediff(d, F.col("_first"))).cast("bigint").alias("date_key"),
+            (base + F.datediff(d, first)).cast("bigint").alias("date_key"),
             d,
             F.date_format(d, "yyyy MMMM dd").alias("full_desc"),
             F.dayofweek(d).alias("day_of_week"),
@@ -108,13 +107,8 @@ def extend_calendar(dim: DataFrame, first, last) -> DataFrame:
     every = days_between(dim.sparkSession, first, last)
     days = every.join(dim.select("cal_date"), "cal_date", "left_anti")
     none = every.where(F.lit(False)).select("cal_date", F.lit("").alias("festive_event"))
-    top = dim.agg((F.max("date_key") + 1).alias("_start"))
-    fresh = dim_date(days, none, first_key=0)
-    return (
-        fresh.crossJoin(F.broadcast(top))
-        .withColumn("date_key", F.col("date_key") + F.coalesce("_start", F.lit(FIRST_KEY)))
-        .drop("_start")
-    )
+    start = F.coalesce(dim.agg(F.max("date_key") + 1).scalar(), F.lit(FIRST_KEY))
+    return dim_date(days, none, first_key=start)
 
 
 def month_flags(dim: DataFrame) -> DataFrame:
@@ -130,6 +124,21 @@ def _yn(condition: Column) -> Column:
     return F.when(condition, "Y").otherwise("N")
 
 
+def within_years(
+    fact: DataFrame, dim: DataFrame, years: tuple[int, int] | None
+) -> tuple[DataFrame, DataFrame]:
+    """Fact and calendar limited to a closed range of years.
+
+    The first and last key of the range, one row of the bounded calendar, become
+    literals, so the filter reaches the scan of the fact.
+    """
+    if years is None:
+        return fact, dim
+    days = dim.where(F.col("cal_date").between(*year_range(*years)))
+    low, high = days.agg(F.min("date_key"), F.max("date_key")).first()
+    return fact.where(F.col("date_key").between(low, high)), days
+
+
 def year_range(first_year: int, last_year: int) -> Sequence[str]:
     """The closed date range of whole years, so filters reach the scan as date bounds."""
     return f"{first_year}-01-01", f"{last_year}-12-31"

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from shelfstar.operators.windows import share_of_total
+from shelfstar.functions.numbers import count_percent
 
 
 def value_profile(df: DataFrame, column: str) -> DataFrame:
     """Rows and percent of all rows per value."""
+    total = df.agg(F.count(F.lit(1))).scalar()
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("cnt"))
-    return counts.withColumn("pct", share_of_total("cnt"))
+    return counts.withColumn("pct", count_percent(F.col("cnt"), total))
 
 
 def range_profile(df: DataFrame, column: str) -> DataFrame:

@@ -10,6 +10,7 @@ from shelfstar.functions.dates import open_end
 from shelfstar.operators.lookup import attach
 from shelfstar.operators.split import neighbour
 from shelfstar.operators.surrogate import assign_keys
+from shelfstar.session import settle
 
 NEW_KEY, NEW_VERSION, CLOSE = "new key", "new version", "close"
 
@@ -37,9 +38,10 @@ def scd2_apply(
     A change whose tracked attributes equal those in force, ignoring case, does
     nothing. A replaced version ends the day before the change: never later
     than it would have ended anyway (`close_floor="before"`), or never earlier
-    than it began (`close_floor="effective"`).
+    than it began (`close_floor="effective"`). The effective changes are settled
+    once; they both end old versions and open new ones.
     """
-    events = scd2_events(dim, changes, id_col, tracked, inherit, source)
+    events = settle(scd2_events(dim, changes, id_col, tracked, inherit, source))
     fresh = _opened(events, id_col, dim, key_col, close_floor)
     return _closed(dim, changes, events, id_col, close_floor).unionByName(fresh)
 

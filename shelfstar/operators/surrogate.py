@@ -33,11 +33,8 @@ def assign_keys(
     numbered = marked.withColumn("_row", F.row_number().over(within)).join(
         F.broadcast(offsets), "_range"
     )
-    if after is None:
-        start = F.lit(FIRST_KEY)
-    else:
-        top = after.agg(F.max(name).alias("_top"))
-        numbered = numbered.crossJoin(F.broadcast(top))
-        start = F.coalesce(F.col("_top") + 1, F.lit(FIRST_KEY))
+    start = F.lit(FIRST_KEY)
+    if after is not None:
+        start = F.coalesce(after.agg(F.max(name) + 1).scalar(), start)
     key = (start + F.col("_offset") + F.col("_row") - 1).cast("bigint").alias(name)
     return numbered.select(key, *[c for c in df.columns if c != name])

@@ -75,8 +75,6 @@ def _loan_rows(
     titled = attach(
         loans.where(F.col("borrow_date").isNotNull()), copies.select("copy_id", "book_id"), "copy_id"
     )
-    if rates is not None:
-        titled = attach(titled, rates, "book_id", sized_by=dim_book)
     rows = titled.select(
         "member_id",
         "book_id",
@@ -86,8 +84,11 @@ def _loan_rows(
         *extra,
     )
     dated = _on_day(rows, dim_date, "day")
-    known = asof_lookup(dated, dim_members, "member_id", "member_key", "day")
-    return asof_lookup(known, dim_book, "book_id", "book_key", "day")
+    # Both lookups by book come one after the other, so they share a shuffle.
+    if rates is not None:
+        dated = attach(dated, rates, "book_id", sized_by=dim_book)
+    known = asof_lookup(dated, dim_book, "book_id", "book_key", "day")
+    return asof_lookup(known, dim_members, "member_id", "member_key", "day")
 
 
 def return_rates(loans: DataFrame, copies: DataFrame) -> DataFrame:
@@ -123,9 +124,7 @@ def fact_borrowing(
     Loans of one member, book and day are one row with the longest figures.
     """
     rates = return_rates(loans, copies)
-    rows = _loan_rows(
-        loans, copies, dim_date, dim_members, dim_book, as_of, ["return_rate"], rates
-    )
+    rows = _loan_rows(loans, copies, dim_date, dim_members, dim_book, as_of, [], rates)
     return rows.groupBy(*BORROWING_KEY).agg(
         F.max("overdue_days").alias("overdue_days"),
         F.max("borrow_duration").alias("borrow_duration"),
@@ -174,8 +173,9 @@ def fact_sales(
     names = discounts.select("discount_id", "discount_name")
     sold = _on_day(attach(sold, names, "discount_id", "left"), dim_date, "day")
     sold = asof_lookup(sold, dim_members, "member_id", "member_key", "day")
-    lines = attach(details, titles.select("book_id", "sales_price"), "book_id")
-    rows = lines.join(sold, "order_id")
+    # Both lookups by book come one after the other, so they share a shuffle.
+    rows = details.join(sold, "order_id")
+    rows = attach(rows, titles.select("book_id", "sales_price"), "book_id")
     amount, qty = F.col("total_amount"), F.col("quantity_sold")
     if load == "incremental":
         amount = F.coalesce(amount, F.coalesce("sales_price", F.lit(0)) * F.coalesce(qty, F.lit(0)))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from shelfstar.functions.dates import quarter_number
 from shelfstar.functions.numbers import count_change_percent, signed_percent_text
 from shelfstar.operators.active import active_at
-from shelfstar.operators.calendar import month_flags, year_range
+from shelfstar.operators.calendar import month_flags, within_years, year_range
 from shelfstar.operators.lookup import sum_by_attribute
 from shelfstar.operators.windows import first_row, moving_average, previous
 
@@ -21,9 +21,7 @@ def genre_months(
     fact: DataFrame, dim_date: DataFrame, dim_book: DataFrame, years: tuple[int, int] | None = None
 ) -> DataFrame:
     """Loans per (month_start, genre). `fact` has date_key and book_key."""
-    days = dim_date
-    if years:
-        days = days.where(F.col("cal_date").between(*year_range(*years)))
+    fact, days = within_years(fact, dim_date, years)
     days = days.select("date_key", F.trunc("cal_date", "MM").alias("month_start"))
     rows = fact.join(F.broadcast(days), "date_key").select(
         "month_start", "book_key", F.lit(1).cast("bigint").alias("borrow_cnt")
@@ -85,8 +83,10 @@ def month_stats(
     order, per_year = ["month_start"], ["yr"]
     return (
         active_at(months, spans, at="month_end", name="active_loans_end")
-        .crossJoin(F.broadcast(copies_in_service(copies)))
-        .withColumn("net_copies_available", F.col("total_copies") - F.col("active_loans_end"))
+        .withColumn(
+            "net_copies_available",
+            copies_in_service(copies).scalar() - F.col("active_loans_end"),
+        )
         .join(F.broadcast(month_flags(dim_date)), "month_start", "left")
         .transform(with_seasonal_index)
         .withColumns(

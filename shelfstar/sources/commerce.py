@@ -209,9 +209,9 @@ class Commerce:
         )
         return self.order_dates().join(header, "purchase_order_id")
 
-    def order_dates(self) -> DataFrame:
+    def order_dates(self, years: tuple[int, int] | None = None) -> DataFrame:
         status = F.col("o_orderstatus")
-        return self.table("orders").select(
+        return within(self.table("orders"), "o_orderdate", years).select(
             F.col("o_orderkey").alias("purchase_order_id"),
             F.to_date("o_orderdate").alias("purchase_date"),
             F.when(status == "F", "Received")
@@ -283,9 +283,10 @@ class Commerce:
             F.upper(F.trim("city")).alias("city"),
         )
 
-    def lending_fact(self) -> DataFrame:
+    def lending_fact(self, years: tuple[int, int] | None = None) -> DataFrame:
+        """Loans with date and book key; a range of years is filtered at the scan."""
         day = F.to_date("l_shipdate")
-        return self.table("lineitem").select(
+        return within(self.table("lineitem"), "l_shipdate", years).select(
             calendar.date_key(day, CALENDAR_FIRST).alias("date_key"),
             F.col("l_partkey").alias("book_key"),
         )
@@ -296,6 +297,15 @@ class Commerce:
         )
 
 
+def within(df: DataFrame, column: str, years: tuple[int, int] | None) -> DataFrame:
+    """Rows of a closed range of years, as a range of the stored timestamp."""
+    if years is None:
+        return df
+    first = F.lit(f"{years[0]}-01-01").cast("timestamp_ntz")
+    after = F.lit(f"{years[1] + 1}-01-01").cast("timestamp_ntz")
+    return df.where((F.col(column) >= first) & (F.col(column) < after))
+
+
 def segment_gender(segment: Column) -> Column:
     return F.when(segment.isin(*FEMALE_SEGMENTS), "female").when(
         segment.isin(*MALE_SEGMENTS), "male"

@@ -14,8 +14,17 @@ def version_spans(versions: DataFrame, id_col: str, key_col: str, strict: bool)
     Of versions that overlap, the later one wins. Strict spans end at the
     version's own expiration; otherwise each version reaches to the next one and
     the first reaches back to the start, so that every date finds a version.
+
+    Versions of one day are reduced to the last one map side, so the window over
+    an id sees at most one row per day of its life.
     """
-    chain = W.partitionBy(id_col).orderBy("effective_date", key_col)
+    columns = versions.columns
+    versions = (
+        versions.groupBy(id_col, "effective_date")
+        .agg(F.max_by(F.struct(*columns), key_col).alias("v"))
+        .select("v.*")
+    )
+    chain = W.partitionBy(id_col).orderBy("effective_date")
     before_next = F.date_sub(F.lead("effective_date").over(chain), 1)
     if strict:
         start, end = F.col("effective_date"), F.least("expiration_date", before_next)
@@ -44,7 +53,8 @@ def asof_lookup(
     key has at most one version per day of its life, so the candidates per fact
     row are few; hot fact keys are split by adaptive execution.
     """
-    spans = version_spans(versions, id_col, key_col, strict).select(
+    used = versions.select(id_col, key_col, *keep, "effective_date", "expiration_date")
+    spans = version_spans(used, id_col, key_col, strict).select(
         F.col(id_col).alias("_id"), key_col, *keep, "valid_from", "valid_to"
     )
     match = (F.col(id_col) == F.col("_id")) & F.col(at).between(

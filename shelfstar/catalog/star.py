@@ -14,6 +14,7 @@ from shelfstar.catalog.common import (
     ratio_sql,
     with_roles,
 )
+from shelfstar.functions.dates import MOVING_HOLIDAYS, expiry_after_renewals, moving_holiday
 from shelfstar.functions.labels import age_range
 from shelfstar.functions.text import segment_from_right
 from shelfstar.operators import calendar
@@ -94,6 +95,44 @@ def sales_fact(src: Commerce, load: str = "initial") -> DataFrame:
     )
 
 
+def later_sales(src: Commerce) -> DataFrame:
+    """Sold lines of which those without a discount come without an amount."""
+    details = src.sales_details()
+    priced = F.when(F.col("discount_amount") != 0, F.col("total_amount"))
+    return facts.fact_sales(
+        details.withColumn("total_amount", priced),
+        src.book_orders(),
+        src.titles(),
+        src.discounts(),
+        src.calendar(),
+        settle(dims.dim_members(src.members(), AS_OF)),
+        settle(_books(src)),
+        "incremental",
+    ).select("sales_id", "sales_price", "discount", "line_total", "quantity")
+
+
+def day_discounts(src: Commerce) -> DataFrame:
+    orders = src.book_orders().select("order_id", "member_id", "sales_date")
+    return facts.discount_on_day(orders, src.discounts())
+
+
+def all_discounts(src: Commerce) -> DataFrame:
+    return facts.with_default_discount(src.discounts())
+
+
+def membership_expiry(src: Commerce) -> DataFrame:
+    """Expiry of every member after as many renewals as tens of years of age."""
+    renewals = F.floor(F.col("member_age") / 10).cast("int")
+    until = expiry_after_renewals(F.col("registration_date"), renewals)
+    return src.members().select("member_id", until.alias("expiry"))
+
+
+def moving_holidays(src: Commerce) -> DataFrame:
+    """Approximate moving holidays of the years with orders."""
+    years = src.table("orders").select(F.year("o_orderdate").alias("year")).distinct()
+    return years.select("year", *[moving_holiday(F.col("year"), k).alias(k.lower()) for k in MOVING_HOLIDAYS])
+
+
 def known_books(src: Commerce) -> DataFrame:
     """The book dimension as it was before the titles published since the cut."""
     return dims.dim_book(src.titles().where(F.col("publication_year") < CUT_YEAR), SINCE)
@@ -174,6 +213,11 @@ QUERIES = {
         lambda s: _borrowing(facts.fact_borrowing_incremental, s)
     ),
     "fact_sales": query(sales_fact),
+    "fact_sales_incremental": query(later_sales),
+    "discount_on_date": query(day_discounts),
+    "default_discount": query(all_discounts),
+    "membership_expiry": query(membership_expiry),
+    "moving_holidays": query(moving_holidays),
     "incremental_load": query(increment_counts),
     "warehouse_trend": query(warehouse_trend),
     "address_segments": query(address_segments),
@@ -365,6 +409,31 @@ SELECT member_key, book_key, {_DATE_KEY.format("sales_date")} AS date_key, sales
   CAST(line_total AS DOUBLE) AS line_total, quantity
 FROM sales JOIN book_keys USING (book_id) JOIN member_keys USING (member_id)
 LEFT JOIN discounts ON discounts.o_orderpriority = sales.o_orderpriority""",
+    "fact_sales_incremental": f"""{with_roles("sales")}
+SELECT sales_id, CAST(sales_price AS DOUBLE) AS sales_price, CAST(discount AS DOUBLE) AS discount,
+  CAST(CASE WHEN discount <> 0 THEN line_total ELSE sales_price * quantity END AS DOUBLE)
+    AS line_total, quantity FROM sales""",
+    "discount_on_date": f"""{with_roles("discounts")}
+SELECT o_orderkey AS order_id, o_custkey AS member_id, CAST(o_orderdate AS DATE) AS sales_date,
+  coalesce(min(discount_id), 'D000') AS discount_id,
+  CAST(coalesce(arg_min(discount_rate, discount_id), 0) AS DOUBLE) AS discount_rate
+FROM orders LEFT JOIN discounts ON CAST(o_orderdate AS DATE) BETWEEN discount_start AND discount_end
+GROUP BY 1, 2, 3""",
+    "default_discount": f"""{with_roles("discounts")}
+SELECT discount_id, discount_name, CAST(discount_rate AS DOUBLE) AS discount_rate, discount_start,
+  discount_end FROM discounts
+UNION ALL SELECT 'D000', 'No Discount', 0, DATE '2004-07-01', DATE '2024-06-30'""",
+    "membership_expiry": f"""{with_roles("members")}
+SELECT member_id, CAST(registration_date + to_months(CAST(12 * (1 + member_age // 10) AS INTEGER))
+  AS DATE) - 1 AS expiry FROM members""",
+    "moving_holidays": """
+WITH y AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders)
+SELECT year, make_date(year, 1, 1) + CAST(354 + (year - 2000) * 11 AS INTEGER) AS hari_raya_puasa,
+  make_date(year, 1, 1) + CAST(280 + (year - 2000) * 11 AS INTEGER) AS hari_raya_haji,
+  make_date(year, 1, 21) + CAST((((year - 1900) * 5 + 4) % 60) * 48 // 100 AS INTEGER)
+    AS chinese_new_year,
+  make_date(year, 10, 15) + CAST((year % 19) * 11 AS INTEGER) AS deepavali,
+  make_date(year, 5, 1) + CAST((year % 19) * 11 AS INTEGER) AS wesak FROM y""",
     "incremental_load": f"""{with_roles("cal", "lines", "loans", "sales")}
 {_INCREMENT}""",
     "warehouse_trend": f"""{with_roles("loans")},

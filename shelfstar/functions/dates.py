@@ -31,8 +31,7 @@ def expiry_after_renewals(registered: Column, renewals: Column) -> Column:
     return F.date_sub(F.add_months(registered, (renewals + 1) * 12), 1)
 
 
-# Day-of-year approximations of the moving holidays.
-# kind -> (month, day, days per year step, year rule)
+# Kinds of moving holidays.
 MOVING_HOLIDAYS = (
     "HARI_RAYA_PUASA",
     "HARI_RAYA_HAJI",

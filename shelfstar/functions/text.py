@@ -37,6 +37,11 @@ def business_id(prefix: str, number: Column, width: int) -> Column:
     return F.concat(F.lit(prefix), padded)
 
 
+def id_number(col: Column) -> Column:
+    """The number inside a business id: `M0042` gives 42."""
+    return F.regexp_substr(col, F.lit(r"\d+")).cast("bigint")
+
+
 def joined_key(*cols: Column, sep: str = "|") -> Column:
     return F.concat_ws(sep, *[c.cast("string") for c in cols])
 

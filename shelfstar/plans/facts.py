@@ -14,15 +14,58 @@ from shelfstar.functions.labels import received_flag, return_score
 from shelfstar.functions.numbers import count_percent, nonneg, ratio
 from shelfstar.operators.asof import asof_lookup
 from shelfstar.operators.lookup import attach
-from shelfstar.operators.upsert import absent
+from shelfstar.operators.upsert import absent, insert_absent
 
 NO_DISCOUNT = "No Discount"
+DISCOUNT_COLUMNS = (
+    "discount_id",
+    "discount_name",
+    "discount_rate",
+    "discount_start",
+    "discount_end",
+)
 
 PURCHASE_KEY = ["date_key", "book_key", "supplier_key", "purchase_order_id"]
 BORROWING_KEY = ["date_key", "member_key", "book_key"]
 SALES_KEY = ["sales_id"]
 
 
+# The discount that stands for none.
+DEFAULT_DISCOUNT = ("D000", NO_DISCOUNT, "0", "2004-07-01", "2024-06-30")
+
+
+def with_default_discount(discounts: DataFrame) -> DataFrame:
+    """The discounts with the row that stands for none, unless it is there already."""
+    values = dict(zip(DISCOUNT_COLUMNS, DEFAULT_DISCOUNT))
+    types = {f.name: f.dataType for f in discounts.select(*DISCOUNT_COLUMNS).schema}
+    row = discounts.sparkSession.range(1).select(
+        *[F.lit(v).cast(types[c]).alias(c) for c, v in values.items()]
+    )
+    return insert_absent(discounts.select(*DISCOUNT_COLUMNS), row, ["discount_id"])
+
+
+def discount_on_day(orders: DataFrame, discounts: DataFrame, day: str = "sales_date") -> DataFrame:
+    """Orders with the discount active on their day; the lowest id where several are.
+
+    Windows are spread to days and reduced to one discount per day, a table
+    bounded by the calendar, so the orders meet it in a broadcast equality join.
+    """
+    span = F.sequence("discount_start", "discount_end")
+    best = (
+        discounts.where(F.col("discount_start") <= F.col("discount_end"))
+        .select("discount_id", "discount_rate", F.explode(span).alias(day))
+        .groupBy(day)
+        .agg(F.min(F.struct("discount_id", "discount_rate")).alias("d"))
+        .select(day, "d.*")
+    )
+    bare = orders.drop("discount_id", "discount_rate")
+    return bare.join(F.broadcast(best), day, "left").select(
+        *bare.columns,
+        F.coalesce("discount_id", F.lit(DEFAULT_DISCOUNT[0])).alias("discount_id"),
+        F.coalesce("discount_rate", F.lit(0)).cast("decimal(8,2)").alias("discount_rate"),
+    )
+
+
 def _on_day(rows: DataFrame, dim_date: DataFrame, day: str) -> DataFrame:
     """Attach date_key; the calendar is bounded, so it is broadcast."""
     days = dim_date.select("date_key", F.col("cal_date").alias(day))

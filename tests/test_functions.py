@@ -30,6 +30,7 @@ def test_text_cleaning(spark):
     genres = [("Non Fiction",), ("Nonfiction",), ("NON-fiction",), (" History",)]
     got = one(spark, "s string", genres, text.normalised_genre(F.col("s")))
     assert got == ["NON-FICTION"] * 3 + ["HISTORY"]
+    assert one(spark, "s string", [("M0042",), ("x",)], text.id_number(F.col("s"))) == [42, None]
     ids = one(spark, "n long", [(7,), (123456,)], text.business_id("B", F.col("n"), 4))
     assert ids == ["B0007", "B123456"]
 

@@ -77,9 +77,15 @@ def purchase_fact(src: Commerce) -> DataFrame:
     )
 
 
-def _borrowing(build, src: Commerce) -> DataFrame:
-    members = settle(dims.dim_members(src.members(), AS_OF))
-    return build(src.loans(), src.copies(), src.calendar(), members, settle(_books(src)), AS_OF)
+def _borrowing(build, src: Commerce, **extra) -> DataFrame:
+    members, books = settle(dims.dim_members(src.members(), AS_OF)), settle(_books(src))
+    return build(src.loans(), src.copies(), src.calendar(), members, books, AS_OF, **extra)
+
+
+def borrowing_fact(src: Commerce) -> DataFrame:
+    """The rates come from the lines alone, without looking up who borrowed."""
+    rates = facts.return_rates(src.loan_lines(), src.copies())
+    return _borrowing(facts.fact_borrowing, src, rates=rates)
 
 
 def sales_fact(src: Commerce, load: str = "initial") -> DataFrame:
@@ -208,7 +214,7 @@ QUERIES = {
         lambda s: dims.new_suppliers(known_suppliers(s), s.suppliers())
     ),
     "fact_purchase": query(purchase_fact),
-    "fact_borrowing": query(lambda s: _borrowing(facts.fact_borrowing, s)),
+    "fact_borrowing": query(borrowing_fact),
     "fact_borrowing_incremental": query(
         lambda s: _borrowing(facts.fact_borrowing_incremental, s)
     ),
@@ -342,7 +348,8 @@ ORACLE = {
 span AS (SELECT min(d) AS lo, max(d) AS hi FROM (SELECT o_orderdate AS d FROM orders
          UNION ALL SELECT l_shipdate FROM lineitem)),
 days AS (SELECT CAST(unnest(generate_series(date_trunc('year', lo)::TIMESTAMP,
-           (date_trunc('year', hi) + INTERVAL 1 YEAR - INTERVAL 1 DAY)::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS cal_date FROM span),
+           (date_trunc('year', hi) + INTERVAL 1 YEAR - INTERVAL 1 DAY)::TIMESTAMP, INTERVAL 1 DAY))
+           AS DATE) AS cal_date FROM span),
 j AS (SELECT cal_date, festive_event, row_number() OVER (ORDER BY cal_date) AS rn
       FROM days LEFT JOIN hol USING (cal_date))
 SELECT {_date_columns("100000 + rn")} FROM j""",

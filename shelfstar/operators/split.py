@@ -2,7 +2,8 @@
 
 A plain window sorts all rows of a key in one task. Here a key is cut into
 buckets that follow the order (such as the month of a date). Every bucket is
-windowed on its own, and only one row per bucket is carried across the key.
+windowed on its own, and only one row per bucket is carried across the key. Keys
+and bucket must not be NULL.
 """
 
 from __future__ import annotations

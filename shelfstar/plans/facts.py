@@ -115,9 +115,8 @@ def _loan_rows(
     rates: DataFrame | None = None,
 ) -> DataFrame:
     today = as_date(as_of)
-    titled = attach(
-        loans.where(F.col("borrow_date").isNotNull()), copies.select("copy_id", "book_id"), "copy_id"
-    )
+    dated_loans = loans.where(F.col("borrow_date").isNotNull())
+    titled = attach(dated_loans, copies.select("copy_id", "book_id"), "copy_id")
     rows = titled.select(
         "member_id",
         "book_id",
@@ -161,12 +160,15 @@ def fact_borrowing(
     dim_members: DataFrame,
     dim_book: DataFrame,
     as_of,
+    rates: DataFrame | None = None,
 ) -> DataFrame:
     """Initial lending fact: return_rate is the book's percentage of returned loans.
 
     Loans of one member, book and day are one row with the longest figures.
+    `rates` may hold the `return_rates` if they are known already.
     """
-    rates = return_rates(loans, copies)
+    if rates is None:
+        rates = return_rates(loans, copies)
     rows = _loan_rows(loans, copies, dim_date, dim_members, dim_book, as_of, [], rates)
     return rows.groupBy(*BORROWING_KEY).agg(
         F.max("overdue_days").alias("overdue_days"),

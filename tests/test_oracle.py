@@ -21,7 +21,12 @@ def test_every_query_has_its_sql():
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_equals_sql(spark, duck, name):
-    table = QUERIES[name](spark, FOLDER).toArrow()
+def test_query_equals_sql(spark, duck, capsys, name):
+    df = QUERIES[name](spark, FOLDER)
+    df.explain()
+    plan = capsys.readouterr().out
+    for slow in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
+        assert slow not in plan
+    table = df.toArrow()
     assert table.num_rows > 0
     assert difference(table, duck.execute(ORACLES[name]).to_arrow_table()) is None

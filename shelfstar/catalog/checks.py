@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from shelfstar.catalog.changes import all_fines, book_history
-from shelfstar.catalog.changes import _BOOK_HISTORY as BOOK_HISTORY_SQL, _FINES as FINES_SQL
+from shelfstar.catalog.changes import BOOK_HISTORY_SQL, FINES_SQL, all_fines, book_history
 from shelfstar.catalog.common import AS_OF, cents, pct_sql, query, ratio_sql, with_roles
 from shelfstar.operators.profile import range_profile, value_profile
 from shelfstar.plans import rules
@@ -33,7 +32,12 @@ def total_guard(src: Commerce) -> DataFrame:
 
 def orders_without_lines(src: Commerce) -> DataFrame:
     return rules.check_foreign_key(
-        src.table("orders"), "o_orderkey", "o_orderkey", src.table("lineitem"), "l_orderkey", "order has lines"
+        src.table("orders"),
+        "o_orderkey",
+        "o_orderkey",
+        src.table("lineitem"),
+        "l_orderkey",
+        "order has lines",
     )
 
 
@@ -46,7 +50,7 @@ def open_returns(src: Commerce) -> DataFrame:
 
 
 def fine_rules(src: Commerce) -> DataFrame:
-    """Fines against the rules; here the damage fines of cheap books carry no amount."""
+    """Fines against the rules; 1000 is taken off damage fines, so those of cheaper books fail."""
     cheaper = all_fines(src).withColumn(
         "fine_amount",
         F.when(F.col("fine_type") == "Damage", F.col("fine_amount") - 1000).otherwise(
@@ -57,14 +61,14 @@ def fine_rules(src: Commerce) -> DataFrame:
 
 
 def payment_rules(src: Commerce) -> DataFrame:
-    """Payments against the rules; urgent ones come in by a way that is not allowed."""
+    """Payments against the rules; one of the three methods is made one that is not allowed."""
     made = src.payments().withColumn(
         "pay_amount", F.when(F.col("payment_type") == "Fines", F.lit(0)).otherwise(50)
     )
-    urgent = F.col("payment_method") == "Duitnow"
+    renamed = F.col("payment_method") == "Duitnow"
     return rules.payment_violations(
         made.withColumn(
-            "payment_method", F.when(urgent, "Cheque").otherwise(F.col("payment_method"))
+            "payment_method", F.when(renamed, "Cheque").otherwise(F.col("payment_method"))
         )
     )
 
@@ -177,7 +181,8 @@ FROM events JOIN (VALUES {_SHIFT_ROWS}) AS s(shift_id, start_second) ON shift_id
     ),
     "rule_membership_window": f"""{with_roles("loans", "members")}
 {_violation("membership window", "borrow_id", "'loan date is outside the membership'",
-            "loans JOIN members USING (member_id) WHERE borrow_date < registration_date OR borrow_date > expire_date")}""",
+            "loans JOIN members USING (member_id) "
+            "WHERE borrow_date < registration_date OR borrow_date > expire_date")}""",
     "rule_fines": FINES_SQL
     + "\n"
     + _violation(
@@ -207,7 +212,9 @@ t AS (SELECT po_id, CAST(sum(lines.quantity * (CAST(p_retailprice AS DECIMAL(18,
     "rule_discount_window": f"""{with_roles("discounts")}
 {_violation("discount window", "o_orderkey",
             "concat('discount ', discount_id, ' not active on ', CAST(o_orderdate AS DATE))",
-            "orders JOIN discounts USING (o_orderpriority) WHERE CAST(o_orderdate AS DATE) < discount_start OR CAST(o_orderdate AS DATE) > discount_end")}""",
+            "orders JOIN discounts USING (o_orderpriority) "
+            "WHERE CAST(o_orderdate AS DATE) < discount_start "
+            "OR CAST(o_orderdate AS DATE) > discount_end")}""",
     "sales_amounts": f"""{with_roles("sales", "discounts")},
 p AS (SELECT sales_id, quantity, {cents("sales_price * quantity")} AS gross,
     coalesce(discount_rate, 0) AS rate, coalesce(sales_date < discount_start

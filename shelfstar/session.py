@@ -39,7 +39,10 @@ def settle(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     sc = spark.sparkContext
-    if not spark.conf.get("spark.checkpoint.dir", None) and not sc.getCheckpointDir():
+    named, current = spark.conf.get("spark.checkpoint.dir", None), sc.getCheckpointDir()
+    if named and named not in (current or ""):
+        sc.setCheckpointDir(named)
+    elif not current:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="shelfstar-checkpoint-"))

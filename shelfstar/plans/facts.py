@@ -36,10 +36,9 @@ DEFAULT_DISCOUNT = ("D000", NO_DISCOUNT, "0", "2004-07-01", "2024-06-30")
 
 def with_default_discount(discounts: DataFrame) -> DataFrame:
     """The discounts with the row that stands for none, unless it is there already."""
-    values = dict(zip(DISCOUNT_COLUMNS, DEFAULT_DISCOUNT))
-    types = {f.name: f.dataType for f in discounts.select(*DISCOUNT_COLUMNS).schema}
-    row = discounts.sparkSession.range(1).select(
-        *[F.lit(v).cast(types[c]).alias(c) for c, v in values.items()]
+    text = discounts.sparkSession.createDataFrame([DEFAULT_DISCOUNT], list(DISCOUNT_COLUMNS))
+    row = text.select(
+        *[F.col(c).cast(discounts.schema[c].dataType).alias(c) for c in DISCOUNT_COLUMNS]
     )
     return insert_absent(discounts.select(*DISCOUNT_COLUMNS), row, ["discount_id"])
 

@@ -50,7 +50,8 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 def use_settings(spark: SparkSession) -> None:
-    """Apply the library's settings to a session somebody else built."""
+    """Apply the library's settings to a session somebody else built, as far as they can
+    still be changed."""
     for name, value in SETTINGS.items():
-        if spark.conf.get(name, None) != value:
+        if spark.conf.isModifiable(name) and spark.conf.get(name, None) != value:
             spark.conf.set(name, value)

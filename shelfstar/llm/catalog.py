@@ -7,9 +7,11 @@ from importlib import import_module
 MODULES = (
     "sharding",
     "chat",
+    "substrings",
     "urls",
     "decontaminate",
     "quality",
+    "simhash",
 )
 
 

@@ -23,11 +23,12 @@ RULES = {
     "length": ("n_words", lambda m: m < 20, lambda m: m >= 50),
     "word_length": ("mean_word", lambda m: (m < 2.0) | (m > 14.0), lambda m: (m >= 3.0) & (m <= 10.0)),
     "symbols": ("symbol_share", lambda m: m > 0.25, lambda m: m <= 0.10),
+    "letters": ("letter_share", lambda m: m < 0.80, lambda m: m >= 0.95),
     "shouting": ("upper_share", lambda m: m > 0.30, lambda m: m <= 0.12),
     "exclaiming": ("mark_share", lambda m: m > 0.15, lambda m: m <= 0.03),
     "short_words": ("short_share", lambda m: m < 0.05, lambda m: m >= 0.12),
     "sentences": ("stop_share", lambda m: m < 0.003, lambda m: m >= 0.03),
-    "dup_lines": ("dup_line_share", lambda m: m > 0.30, lambda m: m <= 0.10),
+    "dup_lines": ("dup_line_share", lambda m: m > 0.40, lambda m: m <= 0.10),
     "repeats": ("repeat_share", lambda m: m > 0.20, lambda m: m <= 0.05),
 }
 #: Start of the estimate: the probability of good quality falls by this factor with each vote against it.
@@ -82,8 +83,9 @@ def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
             share(F.col("y_")).alias("symbol_share"),
             F.when(F.col("c_") > 0, F.regexp_count(text, F.lit(r"\p{Lu}")) / F.col("c_")).alias("upper_share"),
             share(F.regexp_count(text, F.lit("!"))).alias("mark_share"),
-            share(F.size(F.filter("w_", lambda w: F.char_length(w) <= 3))).alias("short_share"),
+            F.when(n >= 20, F.size(F.filter("w_", lambda w: F.char_length(w) <= 3)) / n).alias("short_share"),
             share(F.size(F.filter("w_", lambda w: w.rlike(r"[.!?]$")))).alias("stop_share"),
+            share(F.size(F.filter("w_", lambda w: w.rlike(r"\p{L}")))).alias("letter_share"),
             F.when(F.size("l_") > 0, F.col("u_") / F.size("l_")).alias("dup_line_share"),
             share(F.col("r_")).alias("repeat_share"),
         ),

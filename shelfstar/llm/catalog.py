@@ -11,6 +11,7 @@ MODULES = (
     "urls",
     "decontaminate",
     "quality",
+    "suffixes",
     "simhash",
 )
 

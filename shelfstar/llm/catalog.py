@@ -5,10 +5,12 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = (
+    "pieces",
     "sharding",
     "chat",
     "substrings",
     "urls",
+    "pii",
     "decontaminate",
     "quality",
     "suffixes",

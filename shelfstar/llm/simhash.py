@@ -103,7 +103,8 @@ def links(classes: DataFrame, radius: int = 4) -> DataFrame:
     bucket_bits = max(0, int(n * len(around) // BUCKET).bit_length())
     low = np.uint64(bits - bucket_bits)
     kind = np.uint16 if (1 << bits) < len(around) * UNIT << 15 else np.uint32
-    dealt = classes.select(F.pmod(F.xxhash64("fp"), F.lit(units)).alias("unit"), "fp")
+    # A unit is a few kilobytes of fingerprints and seconds of work, so units are not put together by size.
+    dealt = classes.select(F.pmod(F.xxhash64("fp"), F.lit(units)).alias("unit"), "fp").repartition(units, "unit")
 
     def variants(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         fps = np.sort(rows.column("fp").to_numpy()).view(np.uint64)

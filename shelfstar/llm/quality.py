@@ -170,12 +170,14 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The rows of `docs` that pass, with all their columns. A first pass over the texts fits the model, a second one
-    decides, row by row: null ids and repeated rows need no key."""
-    model = fit(measures(docs.select(F.col(text_col).alias("text"))).select(*[vote(F.col("q_"), r).alias(r) for r in RULES]))
-    odds = log_odds(*model, {r: vote(F.col("q_"), r) for r in RULES})
-    judged = measures(docs, text_col)
-    return judged.filter(~base_failed(F.col("q_")) & (odds >= log(threshold / (1 - threshold)))).select(*docs.columns)
+    """The rows of `docs` that pass, with all their columns. Texts are measured once and written with their votes; the model is
+    fitted on the votes and the verdict read from them, row by row: null ids and repeated rows need no key, and columns of
+    any name stay apart from the measures."""
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].alias("text"))
+    judged = measures(rows).select("row", base_failed(F.col("q_")).alias("failed"), *[vote(F.col("q_"), r).alias(r) for r in RULES])
+    judged = written(judged, "judged")
+    odds = log_odds(*fit(judged.select(*RULES)), {r: F.col(r) for r in RULES})
+    return judged.filter(~F.col("failed") & (odds >= log(threshold / (1 - threshold)))).select("row.*")
 
 
 def op9_quality_rules(spark, folder: str) -> DataFrame:

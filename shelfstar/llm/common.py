@@ -33,7 +33,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """`df` as a table in the shared folder: computed once, lineage cut, safe against lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

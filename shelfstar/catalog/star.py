@@ -14,7 +14,7 @@ from shelfstar.catalog.common import (
     ratio_sql,
     with_roles,
 )
-from shelfstar.functions.dates import MOVING_HOLIDAYS, expiry_after_renewals, moving_holiday
+from shelfstar.functions.dates import expiry_after_renewals
 from shelfstar.functions.labels import age_range
 from shelfstar.functions.text import segment_from_right
 from shelfstar.operators import calendar
@@ -133,12 +133,6 @@ def membership_expiry(src: Commerce) -> DataFrame:
     return src.members().select("member_id", until.alias("expiry"))
 
 
-def moving_holidays(src: Commerce) -> DataFrame:
-    """Approximate moving holidays of the years with orders."""
-    years = src.table("orders").select(F.year("o_orderdate").alias("year")).distinct()
-    return years.select("year", *[moving_holiday(F.col("year"), k).alias(k.lower()) for k in MOVING_HOLIDAYS])
-
-
 def known_books(src: Commerce) -> DataFrame:
     """The book dimension as it was before the titles published since the cut."""
     return dims.dim_book(src.titles().where(F.col("publication_year") < CUT_YEAR), SINCE)
@@ -223,7 +217,6 @@ QUERIES = {
     "discount_on_date": query(day_discounts),
     "default_discount": query(all_discounts),
     "membership_expiry": query(membership_expiry),
-    "moving_holidays": query(moving_holidays),
     "incremental_load": query(increment_counts),
     "warehouse_trend": query(warehouse_trend),
     "address_segments": query(address_segments),
@@ -433,14 +426,6 @@ UNION ALL SELECT 'D000', 'No Discount', 0, DATE '2004-07-01', DATE '2024-06-30'"
     "membership_expiry": f"""{with_roles("members")}
 SELECT member_id, CAST(registration_date + to_months(CAST(12 * (1 + member_age // 10) AS INTEGER))
   AS DATE) - 1 AS expiry FROM members""",
-    "moving_holidays": """
-WITH y AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders)
-SELECT year, make_date(year, 1, 1) + CAST(354 + (year - 2000) * 11 AS INTEGER) AS hari_raya_puasa,
-  make_date(year, 1, 1) + CAST(280 + (year - 2000) * 11 AS INTEGER) AS hari_raya_haji,
-  make_date(year, 1, 21) + CAST((((year - 1900) * 5 + 4) % 60) * 48 // 100 AS INTEGER)
-    AS chinese_new_year,
-  make_date(year, 10, 15) + CAST((year % 19) * 11 AS INTEGER) AS deepavali,
-  make_date(year, 5, 1) + CAST((year % 19) * 11 AS INTEGER) AS wesak FROM y""",
     "incremental_load": f"""{with_roles("cal", "lines", "loans", "sales")}
 {_INCREMENT}""",
     "warehouse_trend": f"""{with_roles("loans")},

@@ -31,35 +31,6 @@ def expiry_after_renewals(registered: Column, renewals: Column) -> Column:
     return F.date_sub(F.add_months(registered, (renewals + 1) * 12), 1)
 
 
-# Kinds of moving holidays.
-MOVING_HOLIDAYS = (
-    "HARI_RAYA_PUASA",
-    "HARI_RAYA_HAJI",
-    "CHINESE_NEW_YEAR",
-    "DEEPAVALI",
-    "WESAK",
-)
-
-
-def moving_holiday(year: Column, kind: str) -> Column:
-    """Approximate date of a moving holiday in `year`; NULL for an unknown kind."""
-    if kind == "HARI_RAYA_PUASA":
-        start, shift = F.make_date(year, F.lit(1), F.lit(1)), 354 + (year - 2000) * 11
-    elif kind == "HARI_RAYA_HAJI":
-        start, shift = F.make_date(year, F.lit(1), F.lit(1)), 280 + (year - 2000) * 11
-    elif kind == "CHINESE_NEW_YEAR":
-        cycle = ((year - 1900) * 5 + 4) % 60
-        start = F.make_date(year, F.lit(1), F.lit(21))
-        shift = F.floor(cycle * F.lit(48) / F.lit(100))
-    elif kind == "DEEPAVALI":
-        start, shift = F.make_date(year, F.lit(10), F.lit(15)), (year % 19) * 11
-    elif kind == "WESAK":
-        start, shift = F.make_date(year, F.lit(5), F.lit(1)), (year % 19) * 11
-    else:
-        return F.lit(None).cast("date")
-    return F.date_add(start, shift.cast("int"))
-
-
 def overdue_days(due: Column, returned: Column, as_of: Column) -> Column:
     """Days late: open loans count up to `as_of`, returned ones up to the return."""
     late = F.when(returned.isNull(), F.datediff(as_of, due)).otherwise(F.datediff(returned, due))

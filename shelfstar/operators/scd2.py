@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfstar.functions.dates import open_end
+from shelfstar.functions.dates import as_date, open_end
 from shelfstar.operators.lookup import attach
 from shelfstar.operators.split import neighbour
 from shelfstar.operators.surrogate import assign_keys
@@ -25,9 +25,12 @@ def scd2_apply(
     inherit: Sequence[str] = (),
     source: DataFrame | None = None,
     close_floor: str = "before",
+    as_of=None,
 ) -> DataFrame:
     """The dimension after a batch of changes.
 
+    A change without an effective_date holds from `as_of` on, or from today.
+
     `changes` carries id_col, every attribute that is not inherited,
     effective_date, and optionally: seq (order within a day), active (False
     closes the version and opens none) and first_effective (start of the first
@@ -41,6 +44,8 @@ def scd2_apply(
     than it began (`close_floor="effective"`). The effective changes are settled
     once; they both end old versions and open new ones.
     """
+    today = F.current_date() if as_of is None else as_date(as_of)
+    changes = changes.withColumn("effective_date", F.coalesce("effective_date", today))
     events = settle(scd2_events(dim, changes, id_col, tracked, inherit, source))
     fresh = _opened(events, id_col, dim, key_col, close_floor)
     return _closed(dim, changes, events, id_col, close_floor).unionByName(fresh)

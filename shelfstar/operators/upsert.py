@@ -4,17 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
 def absent(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of `batch` whose key the target lacks."""
-    return batch.join(target.select(*keys), list(keys), "left_anti").select(*batch.columns)
+    """Rows of `batch` whose key the target lacks; NULL keys are equal to each other."""
+    known = target.select(*[F.col(k).alias(f"_known_{k}") for k in keys]).distinct()
+    same = [batch[k].eqNullSafe(known[f"_known_{k}"]) for k in keys]
+    return batch.join(known, same, "left_anti").select(*batch.columns)
+
+
+def one_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """The first row of each key in `order`; what it leaves open, the other columns decide."""
+    rest = [c for c in batch.columns if c not in keys and c not in order]
+    first = F.row_number().over(W.partitionBy(*keys).orderBy(*order, *rest or keys))
+    return batch.withColumn("_row", first).where("_row = 1").select(*batch.columns)
 
 
 def insert_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The target with the missing rows of `batch` added; running it twice adds nothing."""
-    return target.unionByName(absent(batch, target, keys))
+    """The target with the missing rows of `batch` added, one per key; running it twice adds nothing."""
+    return target.unionByName(absent(one_per_key(batch, keys), target, keys))
 
 
 def update_from(

@@ -46,12 +46,18 @@ def with_default_discount(discounts: DataFrame) -> DataFrame:
 def discount_on_day(orders: DataFrame, discounts: DataFrame, day: str = "sales_date") -> DataFrame:
     """Orders with the discount active on their day; the lowest id where several are.
 
-    Windows are spread to days and reduced to one discount per day, a table
+    A window without a start or an end is open there. Windows are cut to the days
+    of the orders, spread to days and reduced to one discount per day, a table
     bounded by the calendar, so the orders meet it in a broadcast equality join.
     """
-    span = F.sequence("discount_start", "discount_end")
+    low, high = orders.agg(F.min(day)).scalar(), orders.agg(F.max(day)).scalar()
+    start = F.greatest("discount_start", low).alias("start")
+    end = F.least("discount_end", high).alias("end")
+    span = F.sequence("start", "end")
     best = (
-        discounts.where(F.col("discount_start") <= F.col("discount_end"))
+        discounts.where(F.coalesce(F.col("discount_start") <= F.col("discount_end"), F.lit(True)))
+        .select("discount_id", "discount_rate", start, end)
+        .where("start <= end")
         .select("discount_id", "discount_rate", F.explode(span).alias(day))
         .groupBy(day)
         .agg(F.min(F.struct("discount_id", "discount_rate")).alias("d"))

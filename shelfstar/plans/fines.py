@@ -40,8 +40,9 @@ def derive_fines(
     """Lost, late and sampled damage fines of the loans of a period, all unpaid.
 
     One pass over the loans; a loan may give a late and a damage fine. Fines
-    whose (borrow_id, fine_type) is in `present` are left out. The rows are
-    settled before they are numbered, so the loans are read once.
+    whose (borrow_id, fine_type) is in `present` are left out, and ids go on after
+    the highest one there. The rows are settled before they are numbered, so the
+    loans are read once.
     """
     prices = attach(copies.select("copy_id", "book_id"), titles.select("book_id", price), "book_id")
     status, returned = F.upper("return_status"), F.col("return_date")
@@ -72,10 +73,13 @@ def derive_fines(
         .select("borrow_id", "member_id", F.explode(candidates).alias("f"))
         .select("borrow_id", "member_id", "f.*")
     )
+    after = None
     if present is not None:
         rows = absent(rows, present, ["borrow_id", "fine_type"])
+        number = F.substring("fine_id", 2, 20).cast("bigint")
+        after = present.select((number + 100000).alias("fine_key"))
     keyed = rows.withColumn("_id", joined_key(F.col("borrow_id"), F.col("fine_type")))
-    return assign_keys(settle(keyed), "_id", "fine_key").select(
+    return assign_keys(settle(keyed), "_id", "fine_key", after=after).select(
         business_id("F", F.col("fine_key") - 100000, 6).alias("fine_id"),
         "borrow_id",
         "member_id",

@@ -20,13 +20,13 @@ def append_new_rows(
     """Load every micro-batch as an incremental batch: prepare it, then insert absent keys.
 
     A batch that is replayed after a failure finds its keys present and adds
-    nothing. The table at `path` must exist. Rows with the same key inside one
-    batch are reduced to one.
+    nothing. The table at `path` must exist. Of rows with the same key
+    inside one batch the first in the order of the other columns is added.
     """
 
     def load(batch: DataFrame, _: int) -> None:
         rows = prepare(batch)
-        insert_new(rows.dropDuplicates(list(keys)), path, keys, rows.schema)
+        insert_new(rows, path, keys, rows.schema)
 
     return (
         stream.writeStream.foreachBatch(load)

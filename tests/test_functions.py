@@ -105,11 +105,6 @@ def test_date_helpers(spark):
     assert one(spark, "due date, ret date", loans, dates.overdue_days(F.col("due"), F.col("ret"), as_of)) == [31, 0, 3]
     renew = one(spark, "r date", [(d(2020, 3, 1),)], dates.expiry_after_renewals(F.col("r"), F.lit(1)))
     assert renew == [d(2022, 2, 28)]
-    years = [(2000,), (2024,)]
-    assert one(spark, "y int", years, dates.moving_holiday(F.col("y"), "DEEPAVALI")) == [d(2000, 12, 9), d(2025, 2, 2)]
-    # (2000 - 1900) * 5 + 4 = 504, 504 mod 60 = 24, 24 * 0.48 = 11.52 -> 11 days after 21 January.
-    assert one(spark, "y int", years, dates.moving_holiday(F.col("y"), "CHINESE_NEW_YEAR"))[0] == d(2000, 2, 1)
-    assert one(spark, "y int", years, dates.moving_holiday(F.col("y"), "OTHER")) == [None, None]
     stamps = [("2020-01-01 09:00:00", "2020-01-02 10:59:00"), (None, "2020-01-01 10:00:00")]
     hours = dates.whole_hours(F.to_timestamp("a"), F.to_timestamp("b"))
     assert one(spark, "a string, b string", stamps, hours) == [25, None]

@@ -31,8 +31,8 @@ from shelfstar.llm.common import table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BEST = 3
 #: Words a task keeps, the table starts anew beyond it; characters of the longest word kept; words learnt together.
-KEPT, LONG, TOGETHER = 400_000, 32, 100_000
-FACTOR, MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
+KEPT, LONG, TOGETHER = 700_000, 32, 150_000
+FACTOR, MASK, PREFIX = 0x9E3779B97F4A7C15, (1 << 64) - 1, 20
 #: Offset of the rank in Zipf's law, and log-probability of a byte piece.
 ZIPF, BYTE = 2.7, -18.0
 #: Pieces scored below this (runs of spaces) have no rank and count as the rarest.
@@ -125,11 +125,14 @@ class Encoder:
         self.known: dict[str, tuple[bytes, float, float]] = {}
         self.searched: dict[str, list] = {}
         texts = list(vocabulary.pieces)
-        hashes = np.array([self._hash(t) for t in texts], np.uint64)
+        hashes = np.array([self._hash(t) for t in texts], np.uint64) * np.uint64(FACTOR)
         order = np.argsort(hashes)
         self.hashes = hashes[order]
         self.ids = np.array([vocabulary.pieces[t][0] for t in texts], np.int32)[order]
         self.scores = np.array([vocabulary.pieces[t][1] for t in texts])[order]
+        # Pieces by the first bits of their hashes: where those with these bits begin, and the most that share them.
+        starts = np.searchsorted(self.hashes, np.arange((1 << PREFIX) + 1, dtype=np.uint64) << np.uint64(64 - PREFIX))
+        self.starts, self.shared = np.minimum(starts[:-1], len(texts) - 1).astype(np.int32), int(np.diff(starts).max(initial=1))
 
     @staticmethod
     def _hash(text: str) -> int:
@@ -175,11 +178,16 @@ class Encoder:
             h = np.zeros(rows, np.uint64)
             for end in range(begin + 1, min(size, begin + self.vocabulary.longest) + 1):
                 h = h * np.uint64(FACTOR) + codes[:, end - 1]
-                at = np.searchsorted(self.hashes, h)
-                at[at == len(self.hashes)] = 0
-                hit = np.flatnonzero(self.hashes[at] == h)
+                mixed = h * np.uint64(FACTOR)
+                at = self.starts[(mixed >> np.uint64(64 - PREFIX)).astype(np.int64)]
+                found = self.hashes[at] == mixed
+                for _ in range(1, self.shared):
+                    after = np.minimum(at + 1, len(self.hashes) - 1)
+                    at = np.where(found, at, after)
+                    found = self.hashes[at] == mixed
                 if end == begin + 1:
-                    spelled |= self.hashes[at] != h
+                    spelled |= ~found
+                hit = np.flatnonzero(found)
                 if not len(hit):
                     continue
                 at = at[hit]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from datetime import date as d
 
+from pyspark.sql import functions as F
+
 from shelfstar.operators.scd2 import scd2_apply
 from shelfstar.operators.upsert import insert_absent
 from shelfstar.plans.facts import discount_on_day
@@ -19,11 +21,12 @@ def test_insert_absent_takes_one_row_per_key(spark):
 
 
 def test_discount_without_an_end_stays_open(spark):
-    columns = "discount_id string, discount_rate decimal(8,2), discount_start date, discount_end date"
+    columns = "discount_id string, discount_rate int, discount_start date, discount_end date"
     discounts = spark.createDataFrame([("D2", 5, d(2020, 1, 2), None), ("D1", 9, d(2020, 1, 5), d(9999, 12, 31))], columns)
+    discounts = discounts.withColumn("discount_rate", F.col("discount_rate").cast("decimal(8,2)"))
     orders = spark.createDataFrame(
         [(1, d(2020, 1, 1)), (2, d(2020, 1, 3)), (3, d(2020, 1, 6))], "order_id int, sales_date date"
-    )
+    ).selectExpr("*", "cast(null as string) AS discount_id", "cast(null as decimal(8,2)) AS discount_rate")
     got = discount_on_day(orders, discounts).select("order_id", "discount_id")
     assert rows(got) == [(1, "D000"), (2, "D2"), (3, "D1")]
 

@@ -11,6 +11,10 @@ For r = 2 that is 2,081 variants each; they meet in two passes, so that the shuf
 
 All holders of a variant are within the radius of each other, so linking each to the smallest of them
 loses no link between components and makes no pairs within a group.
+
+Texts of a shingle similarity of 0.8 differ in about ten bits, and no ball of half that radius can be sent. Where near copies
+are asked for by similarity, fingerprints meet on bands of least shingle hashes as well, and those that meet are verified by the
+exact similarity of their texts: each with the hub of the bucket, what differs from it with the next hub, until none is left.
 """
 
 from __future__ import annotations
@@ -33,38 +37,67 @@ UNIT, BUCKET = 2048, 1 << 22
 #: Bits of a key beyond those that number the variants; a false meeting costs a row in the second pass.
 SPARE_BITS = 6
 SLICE = 1 << 16
+#: Bands of least hashes, and hashes in a band: of pairs at a similarity of 0.8 one in 80 shares none, and at 0.5 one in eleven
+#: shares any.
+BANDS, BAND = 24, 8
+_ODD = np.random.default_rng(7).integers(1 << 63, size=BANDS * BAND, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
-def fingerprint(text: str | None, shingle: int) -> int:
-    """SimHash of the `shingle`-word shingles, repeats included: 64 bits, each 1 if set in over half the hashes."""
+def shingle_hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
+    """XXH64 of the `shingle`-word shingles in order, a slice at a time; one of the whole sequence where there are fewer words."""
     words = (text or "").encode().translate(_LOWER).split()
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
     n = max(1, len(words) - shingle + 1)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     begins = np.concatenate(([0], ends[:-1] + 1))[:n].tolist()
     ends = ends[min(shingle, len(words)) - 1 :].tolist()
-    digest, counts = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
+    digest = xxhash.xxh64_intdigest
     for at in range(0, n, SLICE):
         pairs = zip(begins[at : at + SLICE], ends[at : at + SLICE], strict=True)
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in pairs], np.uint64)
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * counts > n, bitorder="little").view(np.int64)[0])
+        yield np.array([digest(joined[a:b], SEED) for a, b in pairs], np.uint64)
+
+
+def fingerprint(text: str | None, shingle: int) -> int:
+    """SimHash of the `shingle`-word shingles, repeats included: 64 bits, each 1 if set in over half the hashes."""
+    return sketch(text, shingle, False)[0]
 
 
-def fingerprints(rows: DataFrame, shingle: int, text_col: str = "text") -> DataFrame:
-    """`rows` with its text column replaced by `fp`."""
+def sketch(text: str | None, shingle: int, banded: bool) -> tuple[int, np.ndarray | None]:
+    """The fingerprint and, if `banded`, a hash of each band of least shingle hashes (none for a text without words)."""
+    n, counts = 0, np.zeros(64, np.int64)
+    least = np.full(BANDS * BAND, np.iinfo(np.uint64).max, np.uint64)
+    for hashes in shingle_hashes(text, shingle):
+        n += len(hashes)
+        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        for at in range(0, len(hashes) if banded else 0, 1024):  # as many as the cache holds
+            part = hashes[at : at + 1024]
+            mixed = (part[None, :] ^ (part[None, :] >> np.uint64(32))) * _ODD[:, None]
+            np.minimum(least, mixed.min(axis=1), out=least)
+    fp = int(np.packbits(2 * counts > n, bitorder="little").view(np.int64)[0])
+    if not banded:
+        return fp, None
+    rows = least.reshape(BANDS, BAND) if n else np.zeros((0, BAND), np.uint64)
+    return fp, np.array([xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(rows)], np.uint64).view(np.int64)
+
+
+def fingerprints(rows: DataFrame, shingle: int, text_col: str = "text", banded: bool = False) -> DataFrame:
+    """`rows` with its text column replaced by `fp` and, if `banded`, `bands`."""
     keep = [f for f in rows.schema.fields if f.name != text_col]
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = pa.array([fingerprint(t, shingle) for t in batch.column(text_col).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in keep), fps], [*(f.name for f in keep), "fp"])
+            made = [sketch(t.as_py(), shingle, banded) for t in batch.column(text_col)]
+            columns = [pa.array([fp for fp, _ in made], pa.int64())]
+            if banded:
+                columns.append(pa.array([bands for _, bands in made], pa.list_(pa.int64())))
+            names = [*(f.name for f in keep), "fp", "bands"][: len(keep) + len(columns)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in keep), *columns], names)
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keep)
-    return rows.mapInArrow(hashed, f"{schema}, fp long")
+    return rows.mapInArrow(hashed, f"{schema}, fp long" + (", bands array<long>" if banded else ""))
 
 
 def masks(radius: int) -> np.ndarray:
@@ -183,9 +216,60 @@ def links(classes: DataFrame, radius: int = 4) -> DataFrame:
     return found.filter("whole").select("a", "b").union(across.select("a", "b")).filter(near).distinct()
 
 
-def rooted(classes: DataFrame, radius: int) -> DataFrame:
-    """fp, root for every fingerprint of `classes`."""
-    stars = components(links(classes, radius)).withColumnRenamed("node", "fp")
+def similar(holders: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """a, b: links between fingerprints that share a band in `holders` (key, fp) and whose texts (fp, text) have at least this
+    similarity, the shared over all distinct shingles.
+
+    In each round the holders of a key are compared with its hub, the one that meets most others over all its keys. Those
+    that are similar are settled there, the hub is done, and the rest go on, so that no pairs are made within a group. A chain
+    that goes on only through a settled holder is found under another key, as similar texts share several.
+    """
+    spark = holders.sparkSession
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for fp, text in zip(batch.column("fp"), batch.column("text"), strict=True):
+                found = np.unique(np.concatenate([*shingle_hashes(text.as_py(), shingle), np.zeros(0, np.uint64)])).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([fp.as_py()]), pa.array([found], pa.list_(pa.int64()))], ["fp", "set"])
+
+    def shared(left: DataFrame) -> DataFrame:
+        crowd = left.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        return left.join(crowd, "key")
+
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for a, b in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
+                a, b = a.values.to_numpy(), b.values.to_numpy()
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                good.append(common >= similarity * (len(a) + len(b) - common))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    now = written(shared(holders), "meetings")
+    if now.isEmpty():
+        return spark.createDataFrame([], "a long, b long")
+    wanted = now.select("fp").distinct()
+    held = written(texts.join(wanted, "fp", "left_semi").mapInArrow(sets, "fp long, set array<long>"), "shingle-sets")
+    found = None
+    while True:
+        degree = now.groupBy("fp").agg(F.sum("n").alias("degree"))
+        hubs = now.join(degree, "fp").groupBy("key").agg(F.max(F.struct("degree", "fp"))["fp"].alias("hub"))
+        met = written(now.join(hubs, "key").filter("fp <> hub").select("key", "fp", "hub"), "meetings")
+        pairs = met.select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
+        pairs = pairs.join(held.select(F.col("fp").alias("b"), F.col("set").alias("set_b")), "b")
+        pairs = pairs.join(held.select(F.col("fp").alias("a"), F.col("set").alias("set_a")), "a")
+        good = written(pairs.mapInArrow(verified, "a long, b long"), "similar")
+        found = good if found is None else found.union(good)
+        settled = good.select(F.col("a").alias("hub"), F.col("b").alias("fp"))
+        now = written(shared(met.join(settled, ["hub", "fp"], "left_anti").select("key", "fp")), "meetings")
+        if now.isEmpty():
+            return found.distinct()
+
+
+def rooted(classes: DataFrame, radius: int, more: DataFrame | None = None) -> DataFrame:
+    """fp, root for every fingerprint of `classes`, over the links within the radius and those of `more` (a, b)."""
+    linked = links(classes, radius)
+    stars = components(linked if more is None else linked.union(more)).withColumnRenamed("node", "fp")
     return classes.join(stars, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
@@ -205,14 +289,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 4, id_col:
     return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_duplicates(
+    docs: DataFrame, shingle: int = 5, radius: int = 4, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """`docs` with one row of each component, all columns kept: the row of the smallest id (nulls last), of equal ids
-    the one of the smallest row hash. Of rows equal in every column one stays. Columns of a map type do not enter the row hash."""
+    the one of the smallest row hash. Links are fingerprints within the radius, and texts of at least the similarity. Of rows equal
+    in every column one stays. Texts without words are one component. Columns of a map type do not enter the row hash."""
     plain = [c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
     row_hash = F.xxhash64(*[docs[c] for c in plain])
     rows = docs.select(docs[id_col].alias("id_"), row_hash.alias("hash_"), docs[text_col].alias("text_"))
-    rows = written(fingerprints(rows, shingle, "text_"), "fingerprints")
-    roots = rooted(written(rows.select("fp").distinct(), "classes"), radius)
+    texts = rows
+    rows = written(fingerprints(rows, shingle, "text_", banded=True), "fingerprints")
+    holders = rows.select(F.explode("bands").alias("key"), "fp").distinct()
+    # Texts of one fingerprint are as good as equal; the row of the smallest hash stands for them.
+    standing = rows.groupBy("fp").agg(F.min(F.struct("hash_", "id_")).alias("s")).select("fp", "s.hash_", F.col("s.id_").alias("i_"))
+    said = texts.join(standing, "hash_").filter(F.col("id_").eqNullSafe(F.col("i_"))).groupBy("fp").agg(F.any_value("text_").alias("text"))
+    more = similar(holders, said, shingle, similarity)
+    roots = rooted(written(rows.select("fp").distinct(), "classes"), radius, more)
     order = [F.col("id_").isNull().alias("none_"), "id_", "hash_"]
     # One row per fingerprint first, so that a large group of copies is small before the roots are joined.
     best = rows.groupBy("fp").agg(F.min(F.struct(*order)).alias("best"))

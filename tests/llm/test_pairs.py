@@ -225,3 +225,49 @@ def test_pipeline(spark):
             assert docs.columns == columns
         before = now
     assert all(r.round_trip for r in docs.select("round_trip").collect())
+
+
+def shingle_set(text, k=5):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+
+
+def test_near_copies_by_similarity(spark, docs_of):
+    """A text and its copies with every 25th or so word changed: copies are nearer to the text than to each other."""
+    rng = random.Random(6)
+    rows, k = [], 0
+    for size in (60, 150, 400):
+        for copies in (0, 1, 6):
+            base = [f"v{rng.getrandbits(24)}" for _ in range(size)]
+            rows.append((k := k + 1, " ".join(base)))
+            for _ in range(copies):
+                changed = list(base)
+                for at in rng.sample(range(size), max(1, size // rng.choice((45, 60, 90)))):
+                    changed[at] = f"c{rng.getrandbits(24)}"
+                rows.append((k := k + 1, " ".join(changed)))
+    sets = {i: shingle_set(t) for i, t in rows}
+    fps = {i: simhash.fingerprint(t, 5) for i, t in rows}
+    root = {i: i for i, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            near = len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) or bin((fps[a] ^ fps[b]) & (1 << 64) - 1).count("1") <= 4
+            if a < b and near:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    kept = simhash.drop_near_duplicates(docs_of(rows)).select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(i for i in root if find(i) == i)
+
+
+def test_similar_goes_on_after_the_hub(spark):
+    """Under one key, two pairs of texts that have nothing in common: the pair without the hub is found in a later round."""
+    texts = {1: "a b c d e f g", 2: "a b c d e f g h", 3: "p q r s t u v", 4: "p q r s t u v w", 5: ""}
+    holders = spark.createDataFrame([(7, i) for i in texts], "key long, fp long")
+    said = spark.createDataFrame(list(texts.items()), "fp long, text string")
+    got = simhash.similar(holders, said, 5, 0.7).collect()
+    assert sorted(tuple(sorted(r)) for r in got) == [(1, 2), (3, 4)]

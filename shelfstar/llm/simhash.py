@@ -14,7 +14,7 @@ loses no link between components and makes no pairs within a group.
 
 Texts of a shingle similarity of 0.8 differ in about ten bits, and no ball of half that radius can be sent. Where near copies
 are asked for by similarity, fingerprints meet on bands of least shingle hashes as well, and those that meet are verified by the
-exact similarity of their texts: each with the hub of the bucket, what differs from it with the next hub, until none is left.
+exact similarity of their texts: each with the hub of the bucket, then with more hubs, until it holds one component only.
 """
 
 from __future__ import annotations
@@ -220,9 +220,10 @@ def similar(holders: DataFrame, texts: DataFrame, shingle: int, similarity: floa
     """a, b: links between fingerprints that share a band in `holders` (key, fp) and whose texts (fp, text) have at least this
     similarity, the shared over all distinct shingles.
 
-    In each round the holders of a key are compared with its hub, the one that meets most others over all its keys. Those
-    that are similar are settled there, the hub is done, and the rest go on, so that no pairs are made within a group. A chain
-    that goes on only through a settled holder is found under another key, as similar texts share several.
+    In each round the holders of a key that are in other components are compared with its hubs, which are then done: first
+    with one, the holder of the component that is rarest there and that meets most others over all its keys, then with two, four and
+    so on. A key is done when its holders are in one component. So no pairs are made within a group of copies, and only texts that
+    meet without being similar are compared one by one.
     """
     spark = holders.sparkSession
 
@@ -232,9 +233,14 @@ def similar(holders: DataFrame, texts: DataFrame, shingle: int, similarity: floa
                 found = np.unique(np.concatenate([*shingle_hashes(text.as_py(), shingle), np.zeros(0, np.uint64)])).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([fp.as_py()]), pa.array([found], pa.list_(pa.int64()))], ["fp", "set"])
 
-    def shared(left: DataFrame) -> DataFrame:
-        crowd = left.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        return left.join(crowd, "key")
+    def apart(left: DataFrame, roots: DataFrame | None) -> DataFrame:
+        """key, fp, root, n (holders of the key) where a key has holders of several components."""
+        if roots is None:
+            left = left.select("key", "fp", F.col("fp").alias("root"))
+        else:
+            left = left.join(roots, "fp", "left").select("key", "fp", F.coalesce("root", "fp").alias("root"))
+        crowd = left.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+        return left.join(crowd.filter("low < high").select("key", "n"), "key")
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,25 +251,29 @@ def similar(holders: DataFrame, texts: DataFrame, shingle: int, similarity: floa
                 good.append(common >= similarity * (len(a) + len(b) - common))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    now = written(shared(holders), "meetings")
+    now = written(apart(holders, None), "meetings")
     if now.isEmpty():
         return spark.createDataFrame([], "a long, b long")
     wanted = now.select("fp").distinct()
     held = written(texts.join(wanted, "fp", "left_semi").mapInArrow(sets, "fp long, set array<long>"), "shingle-sets")
-    found = None
+    found, parts = None, 1
     while True:
         degree = now.groupBy("fp").agg(F.sum("n").alias("degree"))
-        hubs = now.join(degree, "fp").groupBy("key").agg(F.max(F.struct("degree", "fp"))["fp"].alias("hub"))
-        met = written(now.join(hubs, "key").filter("fp <> hub").select("key", "fp", "hub"), "meetings")
-        pairs = met.select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
+        rare = now.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
+        ranked = now.join(degree, "fp").join(rare, ["key", "root"])
+        best = F.min(F.struct("c", (-F.col("degree")).alias("d"), "fp", "root")).alias("best")
+        hubs = ranked.groupBy("key", F.pmod(F.xxhash64("fp"), F.lit(parts)).alias("part")).agg(best)
+        hubs = written(hubs.select("key", F.col("best.fp").alias("hub"), F.col("best.root").alias("hub_root")), "hubs")
+        pairs = now.join(hubs, "key").filter("root <> hub_root").select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
         pairs = pairs.join(held.select(F.col("fp").alias("b"), F.col("set").alias("set_b")), "b")
         pairs = pairs.join(held.select(F.col("fp").alias("a"), F.col("set").alias("set_a")), "a")
         good = written(pairs.mapInArrow(verified, "a long, b long"), "similar")
         found = good if found is None else found.union(good)
-        settled = good.select(F.col("a").alias("hub"), F.col("b").alias("fp"))
-        now = written(shared(met.join(settled, ["hub", "fp"], "left_anti").select("key", "fp")), "meetings")
+        left = now.join(hubs.select("key", F.col("hub").alias("fp")), ["key", "fp"], "left_anti")
+        now = written(apart(left.select("key", "fp"), components(found).withColumnRenamed("node", "fp")), "meetings")
         if now.isEmpty():
             return found.distinct()
+        parts *= 2
 
 
 def rooted(classes: DataFrame, radius: int, more: DataFrame | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ loses no link between components and makes no pairs within a group.
 
 Texts of a shingle similarity of 0.8 differ in about ten bits, and no ball of half that radius can be sent. Where near copies
 are asked for by similarity, fingerprints meet on bands of least shingle hashes as well, and those that meet are verified by the
-exact similarity of their texts: each with the hub of the bucket, then with more hubs, until it holds one component only.
+exact similarity of their texts: each with the hubs of the bucket, then, where it still holds several components, block by block.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ UNIT, BUCKET = 2048, 1 << 22
 #: Bits of a key beyond those that number the variants; a false meeting costs a row in the second pass.
 SPARE_BITS = 6
 SLICE = 1 << 16
+#: Hubs of a key in each round; after that, holders of a key in a block, and rows of a task that compares blocks.
+HUBS, BLOCK, CELL_ROWS = (1, 8), 512, 8192
 #: Bands of least hashes, and hashes in a band: of pairs at a similarity of 0.8 one in 80 shares none, and at 0.5 one in eleven
 #: shares any.
 BANDS, BAND = 24, 8
@@ -216,22 +218,83 @@ def links(classes: DataFrame, radius: int = 4) -> DataFrame:
     return found.filter("whole").select("a", "b").union(across.select("a", "b")).filter(near).distinct()
 
 
+def bins(found: np.ndarray) -> bytes:
+    """One byte for the least of `found` (ascending, unsigned) in each of 256 ranges of hashes, 0 where there is none."""
+    starts = np.searchsorted(found, np.arange(256, dtype=np.uint64) << np.uint64(56))
+    ends = np.append(starts[1:], len(found))
+    out = np.zeros(256, np.uint8)
+    full = starts < ends
+    out[full] = found[starts[full]] % np.uint64(255) + np.uint64(1)
+    return out.tobytes()
+
+
+def likely(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether each row of bins `a` and each of `b` agree as often as sets of this similarity do, less five standard deviations."""
+    filled = 256 - (a == 0).astype(np.float32) @ (b == 0).astype(np.float32).T
+    equal = np.stack([((b == row) & (row != 0)).sum(1, dtype=np.int32) for row in a])
+    return equal >= similarity * filled - 5 * np.sqrt(similarity * (1 - similarity) * filled)
+
+
+def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each cell, from batches in which the rows of a cell follow each other."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        cell = batch.column("cell").to_numpy()
+        cuts = [0, *(np.flatnonzero(cell[1:] != cell[:-1]) + 1).tolist(), len(cell)]
+        for i, j in zip(cuts, cuts[1:], strict=False):
+            if i < j and held and held[0].column("cell")[0].as_py() != cell[i]:
+                yield pa.Table.from_batches(held)
+                held = []
+            if i < j:
+                held.append(batch.slice(i, j - i))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def alike(now: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
+    """a, b: pairs of `now` (key, fp, root, n) that share a key, not a root, and whose bins in `held` (fp, bins) agree well enough.
+
+    The holders of a key are dealt to blocks of bounded size, and each two blocks are compared in a cell of their own, so a
+    key of any size is spread over tasks and what a task sees is bounded.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK)
+    rows = now.agg(F.sum(blocks)).first()[0] or 0
+    own = now.join(held.select("fp", "bins"), "fp").withColumn("own", F.pmod(F.xxhash64("fp"), blocks))
+    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
+    dealt = dealt.withColumn("cell", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
+    dealt = dealt.select("cell", "own", "fp", "root", "bins").repartition(max(1, -(-rows // CELL_ROWS)), "cell")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in cells(batches):
+            own, fp, root = (rows.column(c).to_numpy() for c in ("own", "fp", "root"))
+            sets = np.frombuffer(b"".join(rows.column("bins").to_pylist()), np.uint8).reshape(-1, 256)
+            one = own == own.min()
+            two = one if one.all() else ~one
+            good = likely(sets[one], sets[two], similarity) & (root[one][:, None] != root[two][None, :])
+            i, j = np.nonzero(good)
+            a, b = fp[one][i], fp[two][j]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    return dealt.sortWithinPartitions("cell").mapInArrow(compared, "a long, b long").distinct()
+
+
 def similar(holders: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """a, b: links between fingerprints that share a band in `holders` (key, fp) and whose texts (fp, text) have at least this
     similarity, the shared over all distinct shingles.
 
-    In each round the holders of a key that are in other components are compared with its hubs, which are then done: first
-    with one, the holder of the component that is rarest there and that meets most others over all its keys, then with two, four and
-    so on. A key is done when its holders are in one component. So no pairs are made within a group of copies, and only texts that
-    meet without being similar are compared one by one.
+    In two rounds the holders of a key that are in other components are compared with its hubs, which are then done: first
+    with one, the holder of the component that is rarest there and that meets most others over all its keys, then with eight. So no
+    pairs are made within a group of copies. What is then left under a key in several components is compared block by block on
+    bins of hashes, and only the pairs that may be similar are verified by their whole sets.
     """
     spark = holders.sparkSession
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for fp, text in zip(batch.column("fp"), batch.column("text"), strict=True):
-                found = np.unique(np.concatenate([*shingle_hashes(text.as_py(), shingle), np.zeros(0, np.uint64)])).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([fp.as_py()]), pa.array([found], pa.list_(pa.int64()))], ["fp", "set"])
+                found = np.unique(np.concatenate([*shingle_hashes(text.as_py(), shingle), np.zeros(0, np.uint64)]))
+                columns = [pa.array([fp.as_py()]), pa.array([found.view(np.int64)], pa.list_(pa.int64())), pa.array([bins(found)])]
+                yield pa.RecordBatch.from_arrays(columns, ["fp", "set", "bins"])
 
     def apart(left: DataFrame, roots: DataFrame | None) -> DataFrame:
         """key, fp, root, n (holders of the key) where a key has holders of several components."""
@@ -251,13 +314,18 @@ def similar(holders: DataFrame, texts: DataFrame, shingle: int, similarity: floa
                 good.append(common >= similarity * (len(a) + len(b) - common))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
+    def checked(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.join(held.select(F.col("fp").alias("b"), F.col("set").alias("set_b")), "b")
+        pairs = pairs.join(held.select(F.col("fp").alias("a"), F.col("set").alias("set_a")), "a")
+        return written(pairs.mapInArrow(verified, "a long, b long"), "similar")
+
     now = written(apart(holders, None), "meetings")
+    found = spark.createDataFrame([], "a long, b long")
     if now.isEmpty():
-        return spark.createDataFrame([], "a long, b long")
+        return found
     wanted = now.select("fp").distinct()
-    held = written(texts.join(wanted, "fp", "left_semi").mapInArrow(sets, "fp long, set array<long>"), "shingle-sets")
-    found, parts = None, 1
-    while True:
+    held = written(texts.join(wanted, "fp", "left_semi").mapInArrow(sets, "fp long, set array<long>, bins binary"), "shingle-sets")
+    for parts in HUBS:
         degree = now.groupBy("fp").agg(F.sum("n").alias("degree"))
         rare = now.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
         ranked = now.join(degree, "fp").join(rare, ["key", "root"])
@@ -265,15 +333,12 @@ def similar(holders: DataFrame, texts: DataFrame, shingle: int, similarity: floa
         hubs = ranked.groupBy("key", F.pmod(F.xxhash64("fp"), F.lit(parts)).alias("part")).agg(best)
         hubs = written(hubs.select("key", F.col("best.fp").alias("hub"), F.col("best.root").alias("hub_root")), "hubs")
         pairs = now.join(hubs, "key").filter("root <> hub_root").select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
-        pairs = pairs.join(held.select(F.col("fp").alias("b"), F.col("set").alias("set_b")), "b")
-        pairs = pairs.join(held.select(F.col("fp").alias("a"), F.col("set").alias("set_a")), "a")
-        good = written(pairs.mapInArrow(verified, "a long, b long"), "similar")
-        found = good if found is None else found.union(good)
+        found = found.union(checked(pairs))
         left = now.join(hubs.select("key", F.col("hub").alias("fp")), ["key", "fp"], "left_anti")
         now = written(apart(left.select("key", "fp"), components(found).withColumnRenamed("node", "fp")), "meetings")
         if now.isEmpty():
             return found.distinct()
-        parts *= 2
+    return found.union(checked(alike(now, held, similarity))).distinct()
 
 
 def rooted(classes: DataFrame, radius: int, more: DataFrame | None = None) -> DataFrame:

@@ -271,3 +271,19 @@ def test_similar_goes_on_after_the_hub(spark):
     said = spark.createDataFrame(list(texts.items()), "fp long, text string")
     got = simhash.similar(holders, said, 5, 0.7).collect()
     assert sorted(tuple(sorted(r)) for r in got) == [(1, 2), (3, 4)]
+
+
+def test_blocks_of_a_key_meet(spark, monkeypatch):
+    """Forty pairs of copies under one key, in blocks of eight: each text meets its copy whatever their blocks."""
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    monkeypatch.setattr(simhash, "HUBS", (1,))
+    rng = random.Random(9)
+    texts = {}
+    for k in range(1, 81, 2):
+        base = [f"u{rng.getrandbits(30)}" for _ in range(90)]
+        texts[k], texts[k + 1] = " ".join(base), " ".join([*base, "more"])
+    texts[81] = None
+    holders = spark.createDataFrame([(key, i) for i in texts for key in (7, 8)], "key long, fp long")
+    said = spark.createDataFrame(list(texts.items()), "fp long, text string")
+    got = simhash.similar(holders, said, 5, 0.8).collect()
+    assert sorted(tuple(sorted(r)) for r in got) == [(k, k + 1) for k in range(1, 81, 2)]

@@ -12,8 +12,6 @@ from shelfstar.operators.calendar import FIXED_HOLIDAYS
 from shelfstar.session import use_settings
 from shelfstar.sources.commerce import (
     AS_OF,
-    CALENDAR_FIRST,
-    CALENDAR_LAST,
     DISCOUNT_START,
     MEMBERSHIP_START,
     Commerce,
@@ -108,6 +106,7 @@ STATUS_SQL = (
 ID_SQL = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
 
 NEEDS = {
+    "hol": ("cal",),
     "dim_date": ("cal", "hol"),
     "members": ("places",),
     "sups": ("places",),
@@ -115,18 +114,22 @@ NEEDS = {
     "po": ("lines",),
 }
 
+_ALL_DAYS = "(SELECT o_orderdate AS day FROM orders UNION ALL SELECT l_shipdate FROM lineitem)"
+FIRST_DAY_SQL = f"(SELECT CAST(date_trunc('year', min(day)) AS DATE) FROM {_ALL_DAYS})"
+
 ROLES = {
     "cal": (
-        "SELECT CAST(unnest(generate_series(TIMESTAMP '%s', TIMESTAMP '%s', INTERVAL 1 DAY)) "
-        "AS DATE) AS cal_date" % (CALENDAR_FIRST, CALENDAR_LAST)
+        "SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), "
+        "INTERVAL 1 DAY)) AS DATE) AS cal_date FROM (SELECT date_trunc('year', min(day)) AS lo, "
+        f"date_trunc('year', max(day)) + INTERVAL 1 YEAR - INTERVAL 1 DAY AS hi FROM {_ALL_DAYS})"
     ),
     "hol": (
         "SELECT make_date(y, m, d) AS cal_date, e AS festive_event "
         f"FROM (VALUES {_holiday_rows()}) AS r(m, d, e, since), "
-        "(SELECT CAST(unnest(range(2000, 2026)) AS INTEGER) AS y) WHERE y >= since"
+        "(SELECT DISTINCT year(cal_date) AS y FROM cal) WHERE y >= since"
     ),
     "dim_date": (
-        f"SELECT 100001 + date_diff('day', DATE '{CALENDAR_FIRST}', c.cal_date) AS date_key, "
+        f"SELECT 100001 + date_diff('day', {FIRST_DAY_SQL}, c.cal_date) AS date_key, "
         "c.cal_date, h.festive_event FROM cal c LEFT JOIN hol h ON h.cal_date = c.cal_date"
     ),
     "places": (

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelfstar.catalog.common import (
     AS_OF,
+    FIRST_DAY_SQL,
     age_sql,
     pct_sql,
     query,
@@ -22,11 +23,12 @@ from shelfstar.plans import dims, facts
 from shelfstar.plans.load import Sources, incremental_load, initial_load, row_counts
 from shelfstar.plans.trend import trend_month
 from shelfstar.session import settle
-from shelfstar.sources.commerce import CALENDAR_FIRST, CALENDAR_LAST, Commerce
+from shelfstar.sources.commerce import Commerce
 
 SINCE = "1995-01-01"
 # The load tests split the data here: earlier rows are in the warehouse already.
 CUT_DAY, CUT_YEAR = "2000-01-01", 2000
+LAST_KNOWN_DAY = "2000-12-31"
 KNOWN_BEFORE = "1996-03-01"
 
 
@@ -47,19 +49,13 @@ def sources(src: Commerce) -> Sources:
 
 def dates_in_use(src: Commerce) -> DataFrame:
     """The calendar over the whole years in which anything was ordered or shipped."""
-    days = calendar.days_covering(
-        src.table("orders").select(F.to_date("o_orderdate").alias("d")),
-        src.table("lineitem").select(F.to_date("l_shipdate").alias("d")),
-    )
-    return calendar.dim_date(days, calendar.fixed_holidays(src.spark, 2000, 2025))
+    return src.calendar()
 
 
 def extended_dates(src: Commerce) -> DataFrame:
     """Days the calendar of the orders lacks up to the end of the shipping quarter."""
     ordered = calendar.days_covering(src.table("orders").select(F.to_date("o_orderdate")))
-    early = calendar.dim_date(
-        ordered.where(F.col("cal_date") < CUT_DAY), calendar.fixed_holidays(src.spark, 2000, 2025)
-    )
+    early = calendar.dim_date(ordered.where(F.col("cal_date") < CUT_DAY), src.holidays())
     return calendar.extend_calendar(early, "1999-12-01", "2001-12-31")
 
 
@@ -157,22 +153,21 @@ def increment_counts(src: Commerce) -> DataFrame:
         book_orders=everything.book_orders.where(F.col("sales_date") < CUT_DAY),
         purchase_orders=everything.purchase_orders.where(F.col("purchase_date") < CUT_DAY),
     )
-    days = calendar.days_between(src.spark, CALENDAR_FIRST, "2000-12-31")
-    star = initial_load(early, days, calendar.fixed_holidays(src.spark, 2000, 2025), AS_OF, SINCE)
-    return row_counts(
-        incremental_load(star, everything, CALENDAR_FIRST, CALENDAR_LAST, AS_OF, SINCE)
-    )
+    days = src.days().where(F.col("cal_date") <= LAST_KNOWN_DAY)
+    star = initial_load(early, days, src.holidays(), AS_OF, SINCE)
+    return row_counts(incremental_load(star, everything, *src.first_and_last, AS_OF, SINCE))
+
+
+def orders_without_day(src: Commerce) -> DataFrame:
+    """Sales that a calendar which ends at the last known day would leave out of the fact."""
+    known = src.calendar().where(F.col("cal_date") <= LAST_KNOWN_DAY)
+    orders = src.book_orders().select("order_id", F.col("sales_date").alias("day"))
+    return facts.rows_without_day(orders, known, "day")
 
 
 def warehouse_trend(src: Commerce) -> DataFrame:
     """The monthly trend from the loaded star, surrogate keys and all."""
-    star = initial_load(
-        sources(src),
-        calendar.days_between(src.spark, CALENDAR_FIRST, CALENDAR_LAST),
-        calendar.fixed_holidays(src.spark, 2000, 2025),
-        AS_OF,
-        SINCE,
-    )
+    star = initial_load(sources(src), src.days(), src.holidays(), AS_OF, SINCE)
     return trend_month(
         star.fact_borrowing, star.dim_date, star.dim_book, src.loan_spans(), src.copies()
     ).select("year", "month_num", "borrows", "mom_pct", "top_genre")
@@ -196,6 +191,7 @@ def age_bucket(src: Commerce) -> DataFrame:
 
 QUERIES = {
     "dim_date": query(dates_in_use),
+    "orders_without_day": query(orders_without_day),
     "calendar_extension": query(extended_dates),
     "dim_book_clean": query(_books),
     "dim_members_clean": query(lambda s: dims.dim_members(s.members(), AS_OF)),
@@ -284,7 +280,7 @@ _OVERDUE = (
     "WHEN return_date > due_date THEN return_date - due_date ELSE 0 END"
 )
 _DURATION = f"coalesce(return_date, {_AS_OF}) - borrow_date"
-_DATE_KEY = "100001 + date_diff('day', DATE '%s', {0})" % CALENDAR_FIRST
+_DATE_KEY = "100001 + date_diff('day', %s, {0})" % FIRST_DAY_SQL
 
 _BORROWING = f"""{with_roles("loans", "book_keys", "member_keys")},
 rates AS (SELECT book_id, count(*) AS n,
@@ -346,6 +342,9 @@ days AS (SELECT CAST(unnest(generate_series(date_trunc('year', lo)::TIMESTAMP,
 j AS (SELECT cal_date, festive_event, row_number() OVER (ORDER BY cal_date) AS rn
       FROM days LEFT JOIN hol USING (cal_date))
 SELECT {_date_columns("100000 + rn")} FROM j""",
+    "orders_without_day": f"""
+SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS day FROM orders
+WHERE o_orderdate IS NULL OR CAST(o_orderdate AS DATE) > DATE '{LAST_KNOWN_DAY}'""",
     "calendar_extension": f"""
 WITH span AS (SELECT date_trunc('year', min(o_orderdate)) AS lo FROM orders),
 days AS (SELECT CAST(unnest(generate_series(TIMESTAMP '{CUT_DAY}', TIMESTAMP '2001-12-31',

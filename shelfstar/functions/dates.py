@@ -8,8 +8,10 @@ OPEN_END = "9999-12-31"
 
 
 def as_date(value) -> Column:
-    """A Column for a date given as text, `datetime.date` or Column."""
-    return value if isinstance(value, Column) else F.lit(str(value)).cast("date")
+    """A Column for a date given as text, `datetime.date`, None or Column."""
+    if isinstance(value, Column):
+        return value
+    return F.lit(None if value is None else str(value)).cast("date")
 
 
 def open_end() -> Column:

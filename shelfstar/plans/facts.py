@@ -71,6 +71,12 @@ def discount_on_day(orders: DataFrame, discounts: DataFrame, day: str = "sales_d
     )
 
 
+def rows_without_day(rows: DataFrame, dim_date: DataFrame, day: str) -> DataFrame:
+    """Rows whose day is NULL or not in the calendar: a load would leave them out, so look here first."""
+    days = dim_date.select(F.col("cal_date").alias(day))
+    return rows.join(F.broadcast(days), day, "left_anti").select(*rows.columns)
+
+
 def _on_day(rows: DataFrame, dim_date: DataFrame, day: str) -> DataFrame:
     """Attach date_key; the calendar is bounded, so it is broadcast."""
     days = dim_date.select("date_key", F.col("cal_date").alias(day))

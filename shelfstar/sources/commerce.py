@@ -7,6 +7,9 @@ loan (its ship date is the loan day) as well as a sale and a purchase line.
 
 from __future__ import annotations
 
+from datetime import date
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfstar.functions.labels import gender_code
@@ -14,7 +17,6 @@ from shelfstar.functions.numbers import money
 from shelfstar.operators import calendar
 
 AS_OF = "2001-12-31"
-CALENDAR_FIRST, CALENDAR_LAST = "1995-01-01", "2025-12-31"
 MEMBERSHIP_START = "1994-01-01"
 DISCOUNT_START = "1995-01-01"
 
@@ -257,11 +259,28 @@ class Commerce:
 
     # --- star tables on natural keys ----------------------------------------
 
+    @cached_property
+    def first_and_last(self) -> tuple[date | None, date | None]:
+        """First and last day of the whole years in which anything was ordered or shipped.
+
+        One row of two minima and maxima; as literals they reach the scans. None where no row has a date.
+        """
+        spans = [
+            self.table(name).agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
+            for name, day in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))
+        ]
+        low, high = spans[0].unionByName(spans[1]).agg(F.min("lo"), F.max("hi")).first()
+        return (date(low.year, 1, 1), date(high.year, 12, 31)) if low else (None, None)
+
+    def days(self) -> DataFrame:
+        return calendar.days_between(self.spark, *self.first_and_last)
+
+    def holidays(self) -> DataFrame:
+        first, last = self.first_and_last
+        return calendar.fixed_holidays(self.spark, first.year if first else 0, last.year if last else 0)
+
     def calendar(self) -> DataFrame:
-        holidays = calendar.fixed_holidays(self.spark, 2000, 2025)
-        return calendar.dim_date(
-            calendar.days_between(self.spark, CALENDAR_FIRST, CALENDAR_LAST), holidays
-        )
+        return calendar.dim_date(self.days(), self.holidays())
 
     def book_genres(self) -> DataFrame:
         return self.table("part").select(
@@ -286,7 +305,7 @@ class Commerce:
         """Loans with date and book key; a range of years is filtered at the scan."""
         day = F.to_date("l_shipdate")
         return within(self.table("lineitem"), "l_shipdate", years).select(
-            calendar.date_key(day, CALENDAR_FIRST).alias("date_key"),
+            calendar.date_key(day, self.first_and_last[0]).alias("date_key"),
             F.col("l_partkey").alias("book_key"),
         )
 

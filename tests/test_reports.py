@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shelfstar.catalog import reports
 from shelfstar.operators import calendar
 from shelfstar.plans import preference, supplier_geo, trend
-from shelfstar.sources.commerce import CALENDAR_FIRST, Commerce
+from shelfstar.sources.commerce import Commerce
 from tests.conftest import rows
 
 D = dt.date
@@ -153,8 +153,8 @@ def test_activity_from_the_star_equals_the_direct_one(spark):
     gross = F.col("l_extendedprice").cast("decimal(18,2)")
     net = gross - F.round(gross * F.col("l_discount").cast("decimal(4,2)"), 2)
     day = F.to_date("l_shipdate")
-    lend = lines.select(calendar.date_key(day, CALENDAR_FIRST).alias("date_key"), *cols)
-    sold = lines.select(calendar.date_key(F.col("sold"), CALENDAR_FIRST).alias("date_key"), *cols, net.alias("line_total"))
+    lend = lines.select(calendar.date_key(day, src.first_and_last[0]).alias("date_key"), *cols)
+    sold = lines.select(calendar.date_key(F.col("sold"), src.first_and_last[0]).alias("date_key"), *cols, net.alias("line_total"))
     star = preference.activity(lend, sold, src.calendar(), src.book_genres())
     direct = reports.line_activity(src)
     args = ["year", "genre", "member_key", "borrow_cnt", "sales_cnt", F.col("revenue").cast("decimal(18,2)")]

@@ -25,10 +25,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfstar.llm.common import table, written
+from shelfstar.llm.common import SPACES, ascii_lower, table, written
 from shelfstar.llm.components import components
 
 SEED = 42
@@ -102,6 +102,11 @@ def fingerprints(rows: DataFrame, shingle: int, text_col: str = "text", banded:
     return rows.mapInArrow(hashed, f"{schema}, fp long" + (", bands array<long>" if banded else ""))
 
 
+def digest(text: Column) -> Column:
+    """A hash of the words of a text in order, which are all that its shingles depend on."""
+    return F.xxhash64(F.trim(F.regexp_replace(ascii_lower(F.coalesce(text, F.lit(""))), SPACES, " ")))
+
+
 def masks(radius: int) -> np.ndarray:
     """All 64-bit words with at most `radius` bits set."""
     out = [sum(1 << b for b in bits) for r in range(radius + 1) for bits in combinations(range(64), r)]
@@ -278,9 +283,15 @@ def alike(now: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
     return dealt.sortWithinPartitions("cell").mapInArrow(compared, "a long, b long").distinct()
 
 
+def meeting(holders: DataFrame) -> DataFrame:
+    """The rows of `holders` (key, fp) whose key another one has too."""
+    shared = holders.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    return holders.join(shared, "key")
+
+
 def similar(holders: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """a, b: links between fingerprints that share a band in `holders` (key, fp) and whose texts (fp, text) have at least this
-    similarity, the shared over all distinct shingles.
+    """a, b: links between texts that share a key in `holders` (key, fp) and that have at least this similarity, the shared over
+    all distinct shingles. `fp` names a text in both `holders` and `texts` (fp, text); two texts of one name would be one.
 
     In two rounds the holders of a key that are in other components are compared with its hubs, which are then done: first
     with one, the holder of the component that is rarest there and that meets most others over all its keys, then with eight. So no
@@ -341,10 +352,9 @@ def similar(holders: DataFrame, texts: DataFrame, shingle: int, similarity: floa
     return found.union(checked(alike(now, held, similarity))).distinct()
 
 
-def rooted(classes: DataFrame, radius: int, more: DataFrame | None = None) -> DataFrame:
-    """fp, root for every fingerprint of `classes`, over the links within the radius and those of `more` (a, b)."""
-    linked = links(classes, radius)
-    stars = components(linked if more is None else linked.union(more)).withColumnRenamed("node", "fp")
+def rooted(classes: DataFrame, radius: int) -> DataFrame:
+    """fp, root for every fingerprint of `classes`, over the links within the radius."""
+    stars = components(links(classes, radius)).withColumnRenamed("node", "fp")
     return classes.join(stars, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
@@ -372,19 +382,27 @@ def drop_near_duplicates(
     in every column one stays. Texts without words are one component. Columns of a map type do not enter the row hash."""
     plain = [c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
     row_hash = F.xxhash64(*[docs[c] for c in plain])
-    rows = docs.select(docs[id_col].alias("id_"), row_hash.alias("hash_"), docs[text_col].alias("text_"))
-    texts = rows
+    rows = docs.select(docs[id_col].alias("id_"), row_hash.alias("hash_"), digest(docs[text_col]).alias("digest"), docs[text_col].alias("text_"))
+    texts = rows.select("digest", "text_")
     rows = written(fingerprints(rows, shingle, "text_", banded=True), "fingerprints")
-    holders = rows.select(F.explode("bands").alias("key"), "fp").distinct()
-    # Texts of one fingerprint are as good as equal; the row of the smallest hash stands for them.
-    standing = rows.groupBy("fp").agg(F.min(F.struct("hash_", "id_")).alias("s")).select("fp", "s.hash_", F.col("s.id_").alias("i_"))
-    said = texts.join(standing, "hash_").filter(F.col("id_").eqNullSafe(F.col("i_"))).groupBy("fp").agg(F.any_value("text_").alias("text"))
-    more = similar(holders, said, shingle, similarity)
-    roots = rooted(written(rows.select("fp").distinct(), "classes"), radius, more)
+    holders = rows.select(F.explode("bands").alias("key"), F.col("digest").alias("fp")).distinct()
+    met = written(meeting(holders), "met")
+    said = texts.join(met.select(F.col("fp").alias("digest")).distinct(), "digest", "left_semi")
+    said = said.groupBy(F.col("digest").alias("fp")).agg(F.any_value("text_").alias("text"))
+    more = similar(met, said, shingle, similarity)
+    # Unlike texts can have one fingerprint, so texts are verified one by one; a fingerprint is the smallest of its texts here.
+    own = written(rows.select("fp", "digest").distinct(), "digests")
+    least = own.groupBy("fp").agg(F.min("digest").alias("least"))
+    ball = links(written(own.select("fp").distinct(), "classes"), radius)
+    ball = ball.join(least.select(F.col("fp").alias("a"), F.col("least").alias("x")), "a")
+    ball = ball.join(least.select(F.col("fp").alias("b"), F.col("least").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    same = own.join(least, "fp").select(F.col("digest").alias("a"), F.col("least").alias("b"))
+    roots = components(more.union(ball).union(same)).withColumnRenamed("node", "digest")
     order = [F.col("id_").isNull().alias("none_"), "id_", "hash_"]
-    # One row per fingerprint first, so that a large group of copies is small before the roots are joined.
-    best = rows.groupBy("fp").agg(F.min(F.struct(*order)).alias("best"))
-    best = best.join(roots, "fp").groupBy("root").agg(F.min("best").alias("best")).select("best.id_", "best.hash_")
+    # One row per text first, so that a large group of copies is small before the roots are joined.
+    best = rows.groupBy("digest").agg(F.min(F.struct(*order)).alias("best"))
+    best = best.join(roots, "digest", "left").groupBy(F.coalesce("root", "digest").alias("root"))
+    best = best.agg(F.min("best").alias("best")).select("best.id_", "best.hash_")
     counted = rows.groupBy("id_", "hash_").agg(F.count(F.lit(1)).alias("n_")).withColumnsRenamed({"id_": "i_", "hash_": "h_"})
     on = best["id_"].eqNullSafe(counted["i_"]) & (best["hash_"] == counted["h_"])
     kept = written(best.join(counted, on).select("id_", "hash_", "n_"), "kept")

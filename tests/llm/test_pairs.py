@@ -287,3 +287,22 @@ def test_blocks_of_a_key_meet(spark, monkeypatch):
     said = spark.createDataFrame(list(texts.items()), "fp long, text string")
     got = simhash.similar(holders, said, 5, 0.8).collect()
     assert sorted(tuple(sorted(r)) for r in got) == [(k, k + 1) for k in range(1, 81, 2)]
+
+
+def filled(rng, size, word, times):
+    """Random words, and a text of them with one word repeated after them, which decides the whole fingerprint."""
+    words = " ".join(f"r{rng.getrandbits(40)}" for _ in range(size))
+    return words, f"{words} {' '.join([word] * times)}"
+
+
+def test_copies_of_a_text_behind_a_shared_fingerprint(spark, docs_of):
+    """Unlike texts A and B share a filler and so a fingerprint; C, which is B without it, is a near copy of B all the same."""
+    rng = random.Random(12)
+    rows = []
+    for k in range(0, 80, 10):
+        _, a = filled(rng, 800, f"filler{k}", 198)
+        c, b = filled(rng, 800, f"filler{k}", 198)
+        assert simhash.fingerprint(a, 5) == simhash.fingerprint(b, 5) != simhash.fingerprint(c, 5)
+        rows += [(k + 1, a), (k + 2, b), (k + 3, c), (k + 4, c.replace(" ", "\n ").upper())]
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(docs_of(rows)).select("doc_id").collect()}
+    assert not {i for i in kept if i % 10 > 2}

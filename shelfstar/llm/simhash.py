@@ -13,8 +13,8 @@ All holders of a variant are within the radius of each other, so linking each to
 loses no link between components and makes no pairs within a group.
 
 Texts of a shingle similarity of 0.8 differ in about ten bits, and no ball of half that radius can be sent. Where near copies
-are asked for by similarity, fingerprints meet on bands of least shingle hashes as well, and those that meet are verified by the
-exact similarity of their texts: each with the hubs of the bucket, then, where it still holds several components, block by block.
+are asked for by similarity, texts meet on bands of least shingle hashes as well as by their fingerprints, and those that meet are
+verified by their exact similarity, since a repeated shingle can give unlike texts one fingerprint: each with the hubs of the bucket, then, where it still holds several components, block by block.
 """
 
 from __future__ import annotations
@@ -378,26 +378,22 @@ def drop_near_duplicates(
     docs: DataFrame, shingle: int = 5, radius: int = 4, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """`docs` with one row of each component, all columns kept: the row of the smallest id (nulls last), of equal ids
-    the one of the smallest row hash. Links are fingerprints within the radius, and texts of at least the similarity. Of rows equal
-    in every column one stays. Texts without words are one component. Columns of a map type do not enter the row hash."""
+    the one of the smallest row hash. Links are texts of at least the similarity that meet on a band or whose fingerprints are
+    linked within the radius. Of rows equal in every column one stays. Texts without words are one component. Columns of a map type do not enter the row hash."""
     plain = [c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
     row_hash = F.xxhash64(*[docs[c] for c in plain])
     rows = docs.select(docs[id_col].alias("id_"), row_hash.alias("hash_"), digest(docs[text_col]).alias("digest"), docs[text_col].alias("text_"))
     texts = rows.select("digest", "text_")
     rows = written(fingerprints(rows, shingle, "text_", banded=True), "fingerprints")
-    holders = rows.select(F.explode("bands").alias("key"), F.col("digest").alias("fp")).distinct()
-    met = written(meeting(holders), "met")
+    # Unlike texts can have one fingerprint, so a ball is a key to meet under, like a band, and no link.
+    own = written(rows.select("fp", "digest").distinct(), "digests")
+    balls = rooted(written(own.select("fp").distinct(), "classes"), radius)
+    balls = own.join(balls, "fp").select(F.xxhash64(F.lit("ball"), "root").alias("key"), F.col("digest").alias("fp"))
+    bands = rows.select(F.explode("bands").alias("key"), F.col("digest").alias("fp")).distinct()
+    met = written(meeting(bands.union(balls)), "met")
     said = texts.join(met.select(F.col("fp").alias("digest")).distinct(), "digest", "left_semi")
     said = said.groupBy(F.col("digest").alias("fp")).agg(F.any_value("text_").alias("text"))
-    more = similar(met, said, shingle, similarity)
-    # Unlike texts can have one fingerprint, so texts are verified one by one; a fingerprint is the smallest of its texts here.
-    own = written(rows.select("fp", "digest").distinct(), "digests")
-    least = own.groupBy("fp").agg(F.min("digest").alias("least"))
-    ball = links(written(own.select("fp").distinct(), "classes"), radius)
-    ball = ball.join(least.select(F.col("fp").alias("a"), F.col("least").alias("x")), "a")
-    ball = ball.join(least.select(F.col("fp").alias("b"), F.col("least").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    same = own.join(least, "fp").select(F.col("digest").alias("a"), F.col("least").alias("b"))
-    roots = components(more.union(ball).union(same)).withColumnRenamed("node", "digest")
+    roots = components(similar(met, said, shingle, similarity)).withColumnRenamed("node", "digest")
     order = [F.col("id_").isNull().alias("none_"), "id_", "hash_"]
     # One row per text first, so that a large group of copies is small before the roots are joined.
     best = rows.groupBy("digest").agg(F.min(F.struct(*order)).alias("best"))

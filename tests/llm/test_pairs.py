@@ -306,3 +306,24 @@ def test_copies_of_a_text_behind_a_shared_fingerprint(spark, docs_of):
         rows += [(k + 1, a), (k + 2, b), (k + 3, c), (k + 4, c.replace(" ", "\n ").upper())]
     kept = {r.doc_id for r in simhash.drop_near_duplicates(docs_of(rows)).select("doc_id").collect()}
     assert not {i for i in kept if i % 10 > 2}
+
+
+def test_unlike_texts_of_one_fingerprint_stay(spark, docs_of):
+    """Thirty unlike texts whose fingerprint a repeated word decides, and one copy among them that only the ball could bring together."""
+    rng = random.Random(13)
+    rows = [(k, filled(rng, 800, "filler", 198)[1]) for k in range(1, 31)]
+    assert len({simhash.fingerprint(t, 5) for _, t in rows}) == 1
+    rows.append((31, rows[6][1] + " more"))
+    kept = simhash.drop_near_duplicates(docs_of(rows)).select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == list(range(1, 31))
+
+
+def test_copies_that_meet_in_a_ball_only(spark, docs_of, monkeypatch):
+    """No bands: unlike texts and copies of some share a fingerprint, and each copy is found whichever text stands first in the ball."""
+    rng = random.Random(14)
+    sketch = simhash.sketch
+    monkeypatch.setattr(simhash, "sketch", lambda *a: (lambda fp, bands: (fp, None if bands is None else bands[:0]))(*sketch(*a)))
+    rows = [(k, filled(rng, 300, "filler", 90)[1]) for k in range(1, 25)]
+    rows += [(100 + k, f"{t} more") for k, t in rows[::2]]
+    kept = simhash.drop_near_duplicates(docs_of(rows)).select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == list(range(1, 25))

@@ -1,8 +1,7 @@
 """Benchmark decontamination with SimHash windows of the size of the benchmark items.
 
-Every place where a text shares a shingle with an item fixes how the two would line up, and the window of the item's
-size at that place gets a SimHash. A window whose similarity to an item reaches the threshold shares shingles
-with it, so no other window needs one. Item fingerprints are indexed by Hamming blocks: fingerprints at most
+A window of the item's size whose similarity reaches the threshold has at least a certain number of places whose shingle is one of
+the item's. Every window with as many such places, counted over all items of that size, gets a SimHash, and no other needs one. Item fingerprints are indexed by Hamming blocks: fingerprints at most
 `RADIUS` bits apart agree in one of `RADIUS` + 1 blocks at least. Candidates are verified by exact similarity of
 shingle multisets, the sum of the smaller counts over the sum of the larger ones.
 """
@@ -59,12 +58,36 @@ def _block(fingerprint: Column, k: Column, radius: int) -> Column:
 def similarity(a: Column, b: Column) -> Column:
     """Sum of the smaller over sum of the larger counts of the shingles of both."""
     count = lambda s, x: F.size(F.filter(s, lambda y: y == x))
-    common = F.aggregate(
-        F.array_intersect(a, b), F.lit(0), lambda s, x: s + F.least(count(a, x), count(b, x))
-    )
+    plain = (F.size(F.array_distinct(a)) == F.size(a)) | (F.size(F.array_distinct(b)) == F.size(b))
+    shared = F.array_intersect(a, b)
+    common = F.when(plain, F.size(shared)).otherwise(F.aggregate(shared, F.lit(0), lambda s, x: s + F.least(count(a, x), count(b, x))))
     return common / (F.size(a) + F.size(b) - common)
 
 
+def _small(rows: DataFrame, size: int) -> DataFrame:
+    """`rows`, broadcast where they are few at `size` bytes each."""
+    return F.broadcast(rows) if rows.count() * size <= BROADCAST_BYTES else rows
+
+
+def _starts(at: Column, n: Column, m: Column, k: Column, threshold: float) -> Column:
+    """Starts of all windows of `m` words that may reach the threshold, in order. `at`: the places, in order, of the shingles of a text
+    of `n` words that an item has.
+
+    Of windows with N shingles, items with M and C in common, C / (N + M - C) reaches t only if C reaches t (N + M) / (1 + t).
+    A window holds as many places if C of them that follow each other fit in; those whose first place is at[i] start after at[i - 1].
+    """
+    size = F.least(n, m) - k + 1
+    least = F.greatest(F.lit(1), F.ceil((size + m - k + 1) * (threshold / (1 + threshold)) - 1e-9).cast("int"))
+
+    def of(i: Column) -> Column:
+        low = F.greatest(F.get(at, i + least - 1) - size + 1, F.coalesce(F.get(at, i - 1) + 1, F.lit(0)), F.lit(0))
+        high = F.least(F.get(at, i), F.greatest(F.lit(0), n - m))
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    firsts = F.when(F.size(at) >= least, F.sequence(F.lit(0), F.size(at) - least)).otherwise(F.array().cast("array<int>"))
+    return F.flatten(F.transform(firsts, of))
+
+
 def contaminated(
     docs: DataFrame,
     items: DataFrame,
@@ -91,27 +114,35 @@ def contaminated(
     bench = bench.withColumn("s", shingled).withColumn("f", simhash(F.col("s")))
     bench = written(bench.select("item_id", "m", "k", "s", "f"), "benchmark")
 
-    places = bench.select("m", "k", F.posexplode("s").alias("o", "h")).distinct()
-    places = written(places, "benchmark-shingles")
-    if places.count() * 32 <= BROADCAST_BYTES:
-        places = F.broadcast(places)
-
-    text = docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"),
-        _words(F.col(text_col)).alias("w"),
-    ).withColumn("n", F.size("w"))
-    anchors = None
+    places = bench.select("m", "k", F.explode("s").alias("h")).distinct()
+    places = _small(written(places, "benchmark-shingles"), 32)
+
+    keyed = docs.select(
+        F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"), F.col(text_col).alias("text")
+    )
+    text = keyed.withColumn("w", _words(F.col("text"))).withColumn("n", F.size("w"))
+    shared = None
     for k in sizes:
         at = text.filter(F.col("n") >= k).withColumn("p", F.explode(F.sequence(F.lit(0), F.col("n") - k)))
-        at = at.withColumn("h", _hash(F.col("w"), F.col("p"), k)).withColumn("k", F.lit(k))
-        anchors = at if anchors is None else anchors.unionByName(at)
-    start = F.greatest(F.lit(0), F.least(F.col("p") - F.col("o"), F.col("n") - F.col("m")))
+        at = at.withColumn("h", _hash(F.col("w"), F.col("p"), k)).select("doc_id", "text_hash", "n", "p", "h", F.lit(k).alias("k"))
+        shared = at if shared is None else shared.unionByName(at)
+    found = (
+        shared.join(places, ["k", "h"])
+        .groupBy("doc_id", "text_hash", "n", "m", "k")
+        .agg(F.array_sort(F.collect_set("p")).alias("at"))
+        .withColumn("starts", _starts(F.col("at"), F.col("n"), F.col("m"), F.col("k"), threshold))
+        .filter(F.size("starts") > 0)
+        .select(F.col("doc_id").alias("id_"), F.col("text_hash").alias("hash_"), "m", "k", "starts")
+    )
+    found = _small(written(found, "windows"), 64)
+    held = keyed.join(found, keyed["doc_id"].eqNullSafe(found["id_"]) & (keyed["text_hash"] == found["hash_"]))
+    begin = F.element_at("starts", 1)
+    part = F.slice(_words(F.col("text")), begin + 1, F.element_at("starts", -1) - begin + F.col("m"))
     windows = (
-        anchors.join(places, ["k", "h"])
-        .withColumn("start", start)
-        .groupBy("doc_id", "text_hash", "m", "k", "start")
-        .agg(F.any_value(F.slice("w", F.col("start") + 1, F.col("m"))).alias("w"))
+        held.groupBy("doc_id", "text_hash", "m", "k", "starts")
+        .agg(F.any_value(part).alias("part"))
+        .withColumn("at", F.explode(F.transform("starts", lambda s: F.struct(s.alias("start"), F.slice("part", s - begin + 1, F.col("m")).alias("w")))))
+        .select("doc_id", "text_hash", "m", "k", "at.start", "at.w")
     )
     own = F.coalesce(*[F.when(F.col("k") == k, _shingles(F.col("w"), k)) for k in sizes])
     windows = windows.withColumn("s", own).withColumn("f", simhash(F.col("s")))

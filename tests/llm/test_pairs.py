@@ -327,3 +327,27 @@ def test_copies_that_meet_in_a_ball_only(spark, docs_of, monkeypatch):
     rows += [(100 + k, f"{t} more") for k, t in rows[::2]]
     kept = simhash.drop_near_duplicates(docs_of(rows)).select("doc_id").collect()
     assert sorted(r.doc_id for r in kept) == list(range(1, 25))
+
+
+def test_windows_between_and_beside_the_matches(spark, docs_of):
+    """An item with k words lost at each end and 2k put in at the middle, its halves swapped, and one with both ends changed."""
+    rng = random.Random(15)
+    fresh = lambda n: [f"z{rng.getrandbits(40):x}" for _ in range(n)]
+    rows, bench = [], []
+    for i, (m, k) in enumerate(((60, 1), (80, 2), (150, 6), (200, 8)), 1):
+        v = fresh(m)
+        bench.append((i, " ".join(v)))
+        edited = v[k : m // 2] + fresh(2 * k) + v[m // 2 : m - k]
+        for d, inner in enumerate((edited, v[m // 2 :] + v[: m // 2], [*fresh(1), *v[1:-1], *fresh(1)])):
+            rows.append((10 * i + d, " ".join(fresh(30) + inner + fresh(20))))
+        rows.append((10 * i + 3, " ".join(v[: m * 17 // 20])))
+    v = ("a b c d e f g h " * 8).split()
+    bench.append((5, " ".join(v)))
+    rows += [(51, " ".join(fresh(9) + v + v[:5])), (52, " ".join(v[:40])), (53, " ".join(fresh(3) + v[3:] + v[:40]))]
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs_of(rows), items).collect()}
+    want = brute_hits(rows, bench)
+    assert {(10 * i, i) for i in (1, 2, 3, 4)} <= want
+    assert set(got) == want
+    # Of windows equally similar the first: one word before the item loses no shingle of it where both its ends are changed.
+    assert [got[10 * i + 2, i].start for i in (1, 2, 3, 4)] == [29] * 4

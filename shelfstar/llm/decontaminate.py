@@ -50,9 +50,10 @@ def simhash(shingles: Column) -> Column:
 
 
 def _block(fingerprint: Column, k: Column, radius: int) -> Column:
-    """Block k of radius + 1 near equal blocks."""
-    width = -(-64 // (radius + 1))
-    return F.call_function("shiftright", fingerprint, (k * width).cast("int")).bitwiseAND(F.lit((1 << width) - 1))
+    """Block k of radius + 1 near equal blocks, which cover the 64 bits once."""
+    low, high = ((F.call_function("div", (k + i) * 64, F.lit(radius + 1))).cast("int") for i in (0, 1))
+    mask = F.call_function("shiftrightunsigned", F.lit(-1).cast("long"), F.lit(64) - (high - low))
+    return F.call_function("shiftright", fingerprint, low).bitwiseAND(mask)
 
 
 def similarity(a: Column, b: Column) -> Column:

@@ -351,3 +351,24 @@ def test_windows_between_and_beside_the_matches(spark, docs_of):
     assert set(got) == want
     # Of windows equally similar the first: one word before the item loses no shingle of it where both its ends are changed.
     assert [got[10 * i + 2, i].start for i in (1, 2, 3, 4)] == [29] * 4
+
+
+def test_blocks_cover_the_fingerprint_once(spark):
+    """Fingerprints 16 to 20 bits apart, the bits spread over all sixteen nibbles, agree in one of 21 blocks."""
+    rng = random.Random(16)
+    signed = lambda x: int(np.uint64(x).view(np.int64))
+    rows = []
+    for flips in (16, 17, 18, 19, 20):
+        for _ in range(40):
+            f, bits = rng.getrandbits(64), {4 * n + rng.randrange(4) for n in range(16)}
+            bits |= set(rng.sample(sorted(set(range(64)) - bits), flips - 16))
+            rows.append((signed(f), signed(f ^ sum(1 << b for b in bits))))
+    df = spark.createDataFrame(rows, "f long, g long").withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(20))))
+    same = F.col("x") == F.col("y")
+    both = df.withColumn("x", decontaminate._block(F.col("f"), F.col("b"), 20)).withColumn("y", decontaminate._block(F.col("g"), F.col("b"), 20))
+    got = both.groupBy("f", "g").agg(F.sum(same.cast("int")).alias("n"))
+    assert got.filter("n >= 1").count() == len(rows)
+    ones = spark.createDataFrame([(r, k) for r in (0, 3, 20, 63) for k in range(r + 1)], "r int, k int")
+    for r in (0, 3, 20, 63):
+        at = ones.filter(F.col("r") == r).select(F.sum(F.bit_count(decontaminate._block(F.lit(-1).cast("long"), F.col("k"), r))))
+        assert at.first()[0] == 64

@@ -15,6 +15,9 @@ MODULES = (
     "quality",
     "suffixes",
     "simhash",
+    "alignment",
+    "sketches",
+    "whitening",
 )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("reports", "star", "changes", "checks")
+FAMILIES = ("reports", "star", "changes", "checks", "stored")
 
 
 def all_queries() -> dict:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def absent(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -15,10 +15,28 @@ def absent(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFram
 
 
 def one_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """The first row of each key in `order`; what it leaves open, the other columns decide."""
-    rest = [c for c in batch.columns if c not in keys and c not in order]
-    first = F.row_number().over(W.partitionBy(*keys).orderBy(*order, *rest or keys))
-    return batch.withColumn("_row", first).where("_row = 1").select(*batch.columns)
+    """The first row of each key in `order`; what it leaves open, the other columns decide. NULL keys are equal to each other.
+    The least row is taken before the shuffle, so a key of very many rows is one row per task there."""
+    rest = [c for c in batch.columns if c not in keys]
+    if not rest:
+        return batch.distinct()
+    least = F.min(F.struct(*order, *[c for c in rest if c not in order])).alias("_least")
+    found = batch.groupBy(*keys).agg(least)
+    return found.select(*[F.col(c) if c in keys else F.col(f"_least.{c}").alias(c) for c in batch.columns])
+
+
+def absent_within(
+    batch: DataFrame, target: DataFrame, keys: Sequence[str], part: str, parts: Sequence
+) -> DataFrame:
+    """`absent` where the target is a table partitioned by `part` and `parts` are its values in the batch.
+
+    Only these partitions of the target are read if the key holds the part, directly or as what it
+    is made from (then name the part among the keys). Otherwise a key may stand in any partition: the rows that these
+    partitions lack are looked up by key alone in the others.
+    """
+    near = F.col(part).isin(*parts) if parts else F.lit(False)
+    left = absent(batch, target.where(near), keys)
+    return left if part in keys else absent(left, target.where(~near), keys)
 
 
 def insert_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -28,6 +28,7 @@ DISCOUNT_COLUMNS = (
 PURCHASE_KEY = ["date_key", "book_key", "supplier_key", "purchase_order_id"]
 BORROWING_KEY = ["date_key", "member_key", "book_key"]
 SALES_KEY = ["sales_id"]
+FACT_KEYS = {"fact_purchase": PURCHASE_KEY, "fact_borrowing": BORROWING_KEY, "fact_sales": SALES_KEY}
 
 
 # The discount that stands for none.
@@ -246,3 +247,66 @@ def fact_sales(
         F.round(nonneg(amount), 2).cast("decimal(18,2)").alias("line_total"),
         nonneg(qty).cast("bigint").alias("quantity"),
     )
+
+
+def _reasons(
+    rows: DataFrame, table: str, key: str, day: str, dim_date: DataFrame, lookups: dict[str, tuple[str, DataFrame]]
+) -> DataFrame:
+    """table_name, key and reason of the rows that a load leaves out: the first lookup, in order, that finds nothing. `lookups` maps a
+    reason to a column and the ids it must be among."""
+    days = dim_date.select(F.col("cal_date").alias("_day"), F.lit(True).alias("_on_day"))
+    found = rows.join(F.broadcast(days), F.to_date(day) == F.col("_day"), "left")
+    reason = F.when(F.col("_on_day").isNull(), "no day")
+    for k, (why, (column, ids)) in enumerate(lookups.items()):
+        known = ids.select(F.col(ids.columns[0]).alias(f"_id_{k}"), F.lit(True).alias(f"_known_{k}")).distinct()
+        found = found.join(known, found[column] == F.col(f"_id_{k}"), "left")
+        reason = reason.when(F.col(f"_known_{k}").isNull(), why)
+    return (
+        found.select(F.lit(table).alias("table_name"), F.col(key).cast("string").alias("key"), reason.alias("reason"))
+        .where(F.col("reason").isNotNull())
+    )
+
+
+def rejected_rows(
+    loans: DataFrame,
+    copies: DataFrame,
+    book_orders: DataFrame,
+    sales_details: DataFrame,
+    titles: DataFrame,
+    purchase_orders: DataFrame,
+    purchase_details: DataFrame,
+    dim_date: DataFrame,
+    dim_members: DataFrame,
+    dim_book: DataFrame,
+    dim_suppliers: DataFrame,
+) -> DataFrame:
+    """table_name, key, reason: the rows of a batch that no fact row comes from, because their day is NULL or not in the calendar or
+    a copy, member, book, title, order or supplier is not known. One row each, with the first reason in that order."""
+    members, books = dim_members.select("member_id"), dim_book.select("book_id")
+    lent = loans.join(copies.select("copy_id", "book_id"), "copy_id", "left")
+    sold = sales_details.join(
+        book_orders.select(F.col("order_id").alias("_order"), "member_id", "sales_date"),
+        F.col("order_id") == F.col("_order"),
+        "left",
+    )
+    bought = purchase_details.select("purchase_order_id", "book_id").join(
+        purchase_orders.select(F.col("purchase_order_id").alias("_order"), "supplier_id", "purchase_date"),
+        F.col("purchase_order_id") == F.col("_order"),
+        "left",
+    )
+    line = F.concat_ws("|", F.col("purchase_order_id").cast("string"), F.col("book_id").cast("string"))
+    parts = [
+        _reasons(
+            lent, "fact_borrowing", "borrow_id", "borrow_date", dim_date,
+            {"no copy": ("copy_id", copies.select("copy_id")), "no member": ("member_id", members), "no book": ("book_id", books)},
+        ),
+        _reasons(
+            sold, "fact_sales", "sales_id", "sales_date", dim_date,
+            {"no member": ("member_id", members), "no title": ("book_id", titles.select("book_id")), "no book": ("book_id", books)},
+        ),
+        _reasons(
+            bought.withColumn("_line", line), "fact_purchase", "_line", "purchase_date", dim_date,
+            {"no supplier": ("supplier_id", dim_suppliers.select("supplier_id")), "no book": ("book_id", books)},
+        ),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

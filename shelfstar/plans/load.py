@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -73,13 +73,10 @@ def initial_load(
     )
 
 
-def incremental_load(
+def batch_rows(
     star: Star, batch: Sources, first_day, last_day, as_of, since: str = dims.HISTORY_START
 ) -> Star:
-    """The rows a batch adds: missing days, new dimension keys and absent fact keys.
-
-    Applied again after its rows were added, the same batch gives no rows.
-    """
+    """Missing days and dimension rows, and all fact rows of a batch, those that are there already among them."""
     new_days = settle(extend_calendar(star.dim_date, first_day, last_day))
     new_books = settle(dims.new_books(star.dim_book, batch.titles, since))
     new_members = settle(dims.new_members(star.dim_members, batch.members, as_of))
@@ -88,32 +85,39 @@ def incremental_load(
     book = star.dim_book.unionByName(new_books)
     members = star.dim_members.unionByName(new_members)
     suppliers = star.dim_suppliers.unionByName(new_suppliers)
-    purchases = facts.fact_purchase(
-        batch.purchase_orders, batch.purchase_details, date, book, suppliers
-    )
-    sales = facts.fact_sales(
-        batch.sales_details,
-        batch.book_orders,
-        batch.titles,
-        batch.discounts,
-        date,
-        members,
-        book,
-        "incremental",
-    )
     return Star(
         new_days,
         new_books,
         new_members,
         new_suppliers,
-        absent(purchases, star.fact_purchase, facts.PURCHASE_KEY),
-        facts.fact_borrowing_incremental(
-            batch.loans, batch.copies, date, members, book, as_of, star.fact_borrowing
+        facts.fact_purchase(batch.purchase_orders, batch.purchase_details, date, book, suppliers),
+        facts.fact_borrowing_incremental(batch.loans, batch.copies, date, members, book, as_of),
+        facts.fact_sales(
+            batch.sales_details,
+            batch.book_orders,
+            batch.titles,
+            batch.discounts,
+            date,
+            members,
+            book,
+            "incremental",
         ),
-        absent(sales, star.fact_sales, facts.SALES_KEY),
     )
 
 
+def incremental_load(
+    star: Star, batch: Sources, first_day, last_day, as_of, since: str = dims.HISTORY_START
+) -> Star:
+    """The rows a batch adds: missing days, new dimension keys and absent fact keys.
+
+    Applied again after its rows were added, the same batch gives no rows. `sources.store` does the same on
+    partitioned tables, where it reads the months of the batch only.
+    """
+    rows = batch_rows(star, batch, first_day, last_day, as_of, since)
+    present = star.tables()
+    return replace(rows, **{n: absent(getattr(rows, n), present[n], k) for n, k in facts.FACT_KEYS.items()})
+
+
 def row_counts(rows: Star) -> DataFrame:
     """Rows per table, e.g. of an increment."""
     counts = None

@@ -30,6 +30,18 @@ def build_session(app: str = "shelfstar", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, named by `spark.checkpoint.dir`; on one machine a temporary one where it is unset."""
+    named, current = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.getCheckpointDir()
+    if not named and not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        named = tempfile.mkdtemp(prefix="shelfstar-checkpoint-")
+    if named and named not in (current or ""):
+        spark.sparkContext.setCheckpointDir(named)
+    return (named or current).rstrip("/")
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute `df` once into the shared checkpoint folder.
 
@@ -37,15 +49,7 @@ def settle(df: DataFrame) -> DataFrame:
     plan, so that the fact is scanned once and a lost executor does not force
     the scan again.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    named, current = spark.conf.get("spark.checkpoint.dir", None), sc.getCheckpointDir()
-    if named and named not in (current or ""):
-        sc.setCheckpointDir(named)
-    elif not current:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="shelfstar-checkpoint-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfstar.functions.dates import as_date, open_end
 from shelfstar.operators.lookup import attach
-from shelfstar.operators.split import neighbour
+from shelfstar.operators.split import SLICE, SLICE_ROWS, neighbour, with_slices
 from shelfstar.operators.surrogate import assign_keys
 from shelfstar.session import settle
 
@@ -26,10 +26,12 @@ def scd2_apply(
     source: DataFrame | None = None,
     close_floor: str = "before",
     as_of=None,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """The dimension after a batch of changes.
 
-    A change without an effective_date holds from `as_of` on, or from today.
+    A change without an effective_date holds from `as_of` on, which must be given if there is any. An id of more than
+    `slice_rows` changes is cut along its order.
 
     `changes` carries id_col, every attribute that is not inherited,
     effective_date, and optionally: seq (order within a day), active (False
@@ -44,9 +46,9 @@ def scd2_apply(
     than it began (`close_floor="effective"`). The effective changes are settled
     once; they both end old versions and open new ones.
     """
-    today = F.current_date() if as_of is None else as_date(as_of)
-    changes = changes.withColumn("effective_date", F.coalesce("effective_date", today))
-    events = settle(scd2_events(dim, changes, id_col, tracked, inherit, source))
+    since = F.raise_error(F.lit("a change has no effective_date: give as_of")) if as_of is None else as_date(as_of)
+    changes = changes.withColumn("effective_date", F.coalesce("effective_date", since.cast("date")))
+    events = settle(scd2_events(dim, changes, id_col, tracked, inherit, source, slice_rows))
     fresh = _opened(events, id_col, dim, key_col, close_floor)
     return _closed(dim, changes, events, id_col, close_floor).unionByName(fresh)
 
@@ -58,6 +60,7 @@ def scd2_events(
     tracked: Sequence[str],
     inherit: Sequence[str] = (),
     source: DataFrame | None = None,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """The changes that do something, each with its `action` and attributes filled in."""
     rows = changes
@@ -67,16 +70,15 @@ def scd2_events(
     if "first_effective" not in rows.columns:
         rows = rows.withColumn("first_effective", F.col("effective_date"))
     rows = rows.withColumns({c: F.col(c).cast(dim.schema[c].dataType) for c in tracked})
-    rows = rows.withColumn("_month", F.trunc("effective_date", "MM"))
-
     current = dim.where(F.col("curr_ind") == "Y").select(
         id_col,
         F.struct(*tracked).alias("_in_force"),
         *[F.col(c).alias(f"_old_{c}") for c in inherit],
     )
     order = ["effective_date", "seq"]
+    rows, bucket = with_slices(rows, [id_col], order, slice_rows)
     chained = attach(
-        neighbour(rows, [id_col], "_month", order, [*tracked, "active"], "_prev"),
+        neighbour(rows, [id_col], bucket, order, [*tracked, "active"], "_prev"),
         current,
         id_col,
         "left",
@@ -126,7 +128,7 @@ def _opened(
     chained = neighbour(
         events.withColumn("_change", F.col("effective_date")),
         [id_col],
-        "_month",
+        SLICE if SLICE in events.columns else None,
         ["effective_date", "seq"],
         ["_change"],
         "_next",

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelfstar.functions.dates import as_date
 from shelfstar.functions.text import business_id, joined_key
 from shelfstar.operators.lookup import attach
-from shelfstar.operators.split import running
+from shelfstar.operators.split import SLICE_ROWS, queue, with_slices
 from shelfstar.operators.surrogate import assign_keys
 from shelfstar.operators.upsert import absent
 from shelfstar.session import settle
@@ -91,96 +91,70 @@ def derive_fines(
     )
 
 
-def allocate_payments(fines: DataFrame, payments: DataFrame) -> DataFrame:
+def allocate_payments(fines: DataFrame, payments: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Which payment settles which fine, one row per settled fine.
 
     Payments of a member are taken by date. Each settles the two oldest unpaid
     lost-book fines dated no later than itself; if there are none, the two
     oldest late or damage fines. `fines` has member_id, fine_id, fine_type,
     fine_amount, fine_date; `payments` has member_id, payment_id, payment_date.
-    Ties within a day follow the ids as text.
+    Ties within a day follow the ids as text. Rows without a member or a date take no part.
+
+    Both queues are worked out over one shuffle of the events by member, or by slices of a member of more than `slice_rows` events:
+    payments that find the first queue empty are the services of the second. Fine number j of a queue then meets the payment
+    that serves it under (member, queue, j), grouped, not joined.
     """
     unpaid = fines
     if "fine_status" in fines.columns:
         unpaid = fines.where(F.col("fine_status") == UNPAID)
-    unpaid = settle(unpaid.select("member_id", "fine_id", "fine_type", "fine_amount", "fine_date"))
-    lost, idle = _serve(unpaid.where(F.col("fine_type") == LOST), payments)
-    other, _ = _serve(unpaid.where(F.col("fine_type") != LOST), idle)
-    return lost.unionByName(other)
-
-
-def _serve(fines: DataFrame, payments: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Match payments with a queue of fines; also the payments that found it empty.
-
-    With A arrivals before the n-th payment, the number of fines settled so far
-    is S(n) = min(S(n-1) + 2, A(n)) = 2n + min(0, min over k <= n of A(k) - 2k).
-    That is a running sum and a running minimum, and fine number j belongs to the
-    payment with S(n-1) < j <= S(n). Members are cut into months, so one member
-    with very many rows is spread over tasks.
-    """
-    none = F.lit(None)
-    arrivals = fines.select(
+    dated = F.col("member_id").isNotNull() & F.col("day").isNotNull()
+    amount = fines.schema["fine_amount"].dataType
+    arrivals = unpaid.select(
         "member_id",
         F.col("fine_date").alias("day"),
         F.lit(0).alias("kind"),
         F.col("fine_id").cast("string").alias("id"),
         "fine_amount",
+        (F.col("fine_type") == LOST).alias("lost"),
     )
     services = payments.select(
         "member_id",
         F.col("payment_date").alias("day"),
         F.lit(1).alias("kind"),
         F.col("payment_id").cast("string").alias("id"),
-        none.cast(fines.schema["fine_amount"].dataType).alias("fine_amount"),
+        F.lit(None).cast(amount).alias("fine_amount"),
+        F.lit(None).cast("boolean").alias("lost"),
     )
-    events = arrivals.unionByName(services).withColumn("month", F.trunc("day", "MM"))
     keys, order = ["member_id"], ["day", "kind", "id"]
-    is_payment = F.col("kind") == 1
-    counted = settle(
-        running(
-            events,
-            keys,
-            "month",
-            order,
-            {
-                "arrived": ("sum", (~is_payment).cast("bigint")),
-                "served": ("sum", is_payment.cast("bigint")),
-            },
-        )
-    )
+    events = settle(arrivals.unionByName(services).where(dated))
+    events, bucket = with_slices(events, keys, order, slice_rows)
+    is_fine, is_payment = F.col("kind") == 0, F.col("kind") == 1
+    idle = is_payment & (F.col("l_after") == F.col("l_before"))
     per = FINES_PER_PAYMENT
-    spare = F.when(is_payment, F.col("arrived") - F.col("served") * per)
-    lows = running(
-        counted.withColumn("_spare", spare),
-        keys,
-        "month",
-        order,
-        {"_low": ("min", F.col("_spare"))},
-        inclusive=False,
-    ).where(is_payment)
-    zero = F.lit(0).cast("bigint")
-    before = (F.col("served") - 1) * per + F.least(zero, F.col("_low"))
-    after = F.col("served") * per + F.least(zero, F.col("_low"), F.col("_spare"))
-    served = lows.withColumn("_before", before).withColumn("_after", after)
-
-    queue = counted.where(~is_payment).select(
+    events = queue(events, keys, bucket, order, is_fine & F.col("lost"), is_payment, per, "l_")
+    events = queue(events, keys, bucket, order, is_fine & ~F.col("lost"), idle, per, "o_")
+
+    def places(q: str, mine: Column) -> Column:
+        served = F.when(F.col(f"{q}after") > F.col(f"{q}before"), F.sequence(F.col(f"{q}before") + 1, F.col(f"{q}after")))
+        return F.when(is_fine & mine, F.array(F.col(f"{q}place"))).when(is_payment, served)
+
+    first = places("l_", F.col("lost"))
+    turns = events.select(
         "member_id",
-        F.col("id").alias("fine_id"),
-        "fine_amount",
-        F.col("day").alias("fine_date"),
-        F.col("arrived").alias("place"),
+        first.isNotNull().alias("first"),
+        F.explode(F.coalesce(first, places("o_", ~F.col("lost")))).alias("place"),
+        F.when(is_fine, F.struct("id", "fine_amount", "day")).alias("fine"),
+        F.when(is_payment, F.struct("id", "day")).alias("payment"),
     )
-    turns = served.where(F.col("_after") > F.col("_before")).select(
+    met = turns.groupBy("member_id", "first", "place").agg(F.max("fine").alias("fine"), F.max("payment").alias("payment"))
+    return met.where(F.col("fine").isNotNull() & F.col("payment").isNotNull()).select(
         "member_id",
-        F.col("id").alias("payment_id"),
-        F.col("day").alias("payment_date"),
-        F.explode(F.sequence(F.col("_before") + 1, F.col("_after"))).alias("place"),
-    )
-    matched = queue.join(turns, ["member_id", "place"]).drop("place")
-    idle = served.where(F.col("_after") == F.col("_before")).select(
-        "member_id", F.col("id").alias("payment_id"), F.col("day").alias("payment_date")
+        F.col("fine.id").alias("fine_id"),
+        "fine.fine_amount",
+        F.col("fine.day").alias("fine_date"),
+        F.col("payment.id").alias("payment_id"),
+        F.col("payment.day").alias("payment_date"),
     )
-    return matched, idle
 
 
 def payments_of(allocations: DataFrame) -> DataFrame:

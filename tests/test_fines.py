@@ -68,3 +68,30 @@ def test_fine_kinds_and_edges(spark):
     assert again.count() == 0
     damaged = derive_fines(df, copies, titles, "2021-01-01", "2021-12-31", 1.0)
     assert damaged.where("fine_type = 'Damage'").count() == 4
+
+
+@pytest.mark.parametrize("slice_rows", [7, 40])
+def test_allocation_over_slices_of_a_hot_day(spark, slice_rows):
+    rng = random.Random(slice_rows)
+    day = lambda i: D(2021, 5, 5) if i % 3 == 0 else D(2021, 1, 1) + dt.timedelta(days=rng.randrange(200))
+    who = lambda i: "hot" if i % 3 < 2 else f"m{i % 5}"
+    fines = [(who(i), f"F{i:04d}", rng.choice(["Lost Book", "Late Return", "Damage"]), Decimal(30), day(i)) for i in range(240)]
+    payments = [(who(i), f"P{i:04d}", day(i)) for i in range(130)]
+    got = allocate_payments(
+        spark.createDataFrame(fines + [(None, "FX", "Damage", Decimal(1), D(2021, 1, 1)), ("hot", "FY", "Damage", Decimal(1), None)], FINES),
+        spark.createDataFrame(payments + [(None, "PX", D(2021, 2, 2)), ("hot", "PY", None)], PAYMENTS),
+        slice_rows,
+    )
+    assert rows(got, "fine_id", "payment_id") == one_by_one(fines, payments)
+
+
+FINES = "member_id string, fine_id string, fine_type string, fine_amount decimal(18,2), fine_date date"
+PAYMENTS = "member_id string, payment_id string, payment_date date"
+
+
+def test_settlement_shuffles_events_once(spark):
+    fines, payments = spark.createDataFrame([("m", "F1", "Damage", Decimal(1), D(2021, 1, 1))], FINES), spark.createDataFrame([("m", "P1", D(2021, 1, 2))], PAYMENTS)
+    plan = allocate_payments(fines, payments)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert allocate_payments(fines.limit(0), payments).count() == 0
+    assert allocate_payments(fines, payments.limit(0)).count() == 0

@@ -12,6 +12,7 @@ from shelfstar.operators.calendar import FIXED_HOLIDAYS
 from shelfstar.session import use_settings
 from shelfstar.sources.commerce import (
     AS_OF,
+    DAMAGE_TAX,
     DISCOUNT_START,
     MEMBERSHIP_START,
     Commerce,
@@ -156,7 +157,7 @@ ROLES = {
         f"SELECT {ID_SQL} AS borrow_id, o_custkey AS member_id, l_partkey AS book_id, "
         "CAST(l_shipdate AS DATE) AS borrow_date, CAST(l_shipdate AS DATE) + 10 AS due_date, "
         "CASE WHEN l_linestatus = 'F' THEN CAST(l_shipdate AS DATE) + CAST(l_quantity AS INTEGER) "
-        f"END AS return_date, {STATUS_SQL} AS return_status "
+        f"END AS return_date, {STATUS_SQL} AS return_status, l_tax >= {DAMAGE_TAX} AS damaged "
         "FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
     ),
     "sales": (

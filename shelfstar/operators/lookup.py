@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -10,8 +11,26 @@ from pyspark.sql import Column, DataFrame, functions as F
 BROADCAST_ROWS = 1_000_000
 
 
+# Tables counted before, so that a lookup that several queries of a session use is counted once.
+_KNOWN: OrderedDict[tuple[str, int], tuple[DataFrame, int]] = OrderedDict()
+REMEMBERED = 256
+
+
+def row_count(df: DataFrame) -> int:
+    """Rows of `df`; a plan over the same files is not counted again in a session. It decides on a strategy, not on results."""
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash())
+    known = _KNOWN.get(key)
+    if known and known[0].sameSemantics(df):
+        return known[1]
+    n = df.count()
+    _KNOWN[key] = (df, n)
+    if len(_KNOWN) > REMEMBERED:
+        _KNOWN.popitem(last=False)
+    return n
+
+
 def within_rows(df: DataFrame, bound: int = BROADCAST_ROWS) -> bool:
-    return df.count() <= bound
+    return row_count(df) <= bound
 
 
 def attach(

@@ -21,23 +21,17 @@ LATE_DAYS = (1, 7)
 FINES_PER_PAYMENT = 2
 
 
-def sampled(key: Column, rate: float) -> Column:
-    """A repeatable sample: true for the share `rate` of all key digests."""
-    head = F.conv(F.substring(F.md5(key.cast("string").cast("binary")), 1, 8), 16, 10)
-    return head.cast("bigint") < int(rate * 2**32)
-
-
 def derive_fines(
     loans: DataFrame,
     copies: DataFrame,
     titles: DataFrame,
     first,
     last,
-    damage_rate: float,
     present: DataFrame | None = None,
     price: str = "purchase_price",
 ) -> DataFrame:
-    """Lost, late and sampled damage fines of the loans of a period, all unpaid.
+    """Lost, late and damage fines of the loans of a period, all unpaid. Loans come with what was recorded at their return in
+    `damaged` (boolean; NULL: not).
 
     One pass over the loans; a loan may give a late and a damage fine. Fines
     whose (borrow_id, fine_type) is in `present` are left out, and ids go on after
@@ -50,7 +44,7 @@ def derive_fines(
     back = returned.isNotNull()
     lost = status == "LOST"
     late = back & status.isin("OVERDUE", "RETURNED") & late_by.between(*LATE_DAYS)
-    damaged = back & (status == "RETURNED") & sampled(F.col("borrow_id"), damage_rate)
+    damaged = back & (status == "RETURNED") & F.coalesce("damaged", F.lit(False))
     lost_day = F.least(F.coalesce(returned, F.date_add("due_date", 1)), as_date(last))
 
     def fine(kind, amount, day):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,14 +44,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute `df` once into the shared checkpoint folder.
+    """Compute `df` once, into a table in the shared folder.
 
     Used where a small aggregate of a large fact feeds several branches of one
     plan, so that the fact is scanned once and a lost executor does not force
-    the scan again.
+    the scan again. A table is computed once where an eager checkpoint computes its rows twice, and its size is known to
+    the planner. Tables stay until the folder is emptied.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def use_settings(spark: SparkSession) -> None:

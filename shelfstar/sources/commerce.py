@@ -8,7 +8,6 @@ loan (its ship date is the loan day) as well as a sale and a purchase line.
 from __future__ import annotations
 
 from datetime import date
-from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -23,6 +22,8 @@ DISCOUNT_START = "1995-01-01"
 # Which market segment stands for which gender.
 FEMALE_SEGMENTS = ("BUILDING", "HOUSEHOLD")
 MALE_SEGMENTS = ("AUTOMOBILE", "MACHINERY")
+# The tax from which on a line stands for a book that came back damaged.
+DAMAGE_TAX = 0.08
 # Seconds of work per unit of an event value.
 WORK_SECONDS = 240
 # Shift start hour per event type.
@@ -48,6 +49,11 @@ SCHEMAS = {
 }
 
 
+# Which column of a table holds its days, and the range of days of tables seen before.
+DAY_COLUMNS = {"orders": "o_orderdate", "lineitem": "l_shipdate"}
+_RANGES: dict[tuple[str, str], tuple] = {}
+
+
 class Commerce:
     """The commerce tables of one folder."""
 
@@ -140,6 +146,7 @@ class Commerce:
             F.date_add(borrow, 10).alias("due_date"),
             returned.alias("return_date"),
             status.alias("return_status"),
+            (F.col("l_tax") >= DAMAGE_TAX).alias("damaged"),
         )
 
     def loans(self) -> DataFrame:
@@ -259,18 +266,22 @@ class Commerce:
 
     # --- star tables on natural keys ----------------------------------------
 
-    @cached_property
+    @property
     def first_and_last(self) -> tuple[date | None, date | None]:
         """First and last day of the whole years in which anything was ordered or shipped.
 
-        One row of two minima and maxima; as literals they reach the scans. None where no row has a date.
+        As literals they reach the scans. None where no row has a date. The range is kept for as long as the
+        tables consist of the same files, so it is scanned for once in a session and not before every query.
         """
-        spans = [
-            self.table(name).agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
-            for name, day in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))
-        ]
-        low, high = spans[0].unionByName(spans[1]).agg(F.min("lo"), F.max("hi")).first()
-        return (date(low.year, 1, 1), date(high.year, 12, 31)) if low else (None, None)
+        dated = {name: self.table(name).select(F.col(day).alias("day")) for name, day in DAY_COLUMNS.items()}
+        files = tuple(sorted(f for df in dated.values() for f in df.inputFiles()))
+        key = (self.spark.sparkContext.applicationId, self.folder)
+        known = _RANGES.get(key)
+        if not known or known[0] != files:
+            days = dated["orders"].unionByName(dated["lineitem"])
+            low, high = days.agg(F.min("day"), F.max("day")).first()
+            _RANGES[key] = known = (files, (date(low.year, 1, 1), date(high.year, 12, 31)) if low else (None, None))
+        return known[1]
 
     def days(self) -> DataFrame:
         return calendar.days_between(self.spark, *self.first_and_last)

@@ -52,21 +52,21 @@ def test_fine_kinds_and_edges(spark):
     for late in (0, 1, 7, 8):
         loans.append((f"b{late + 1}", due + dt.timedelta(days=late), "Returned"))
     df = spark.createDataFrame(
-        [(b, "m", "c", D(2021, 1, 1), due, r, s) for b, r, s in loans],
-        "borrow_id string, member_id string, copy_id string, borrow_date date, due_date date, return_date date, return_status string",
+        [(b, "m", "c", D(2021, 1, 1), due, r, s, False) for b, r, s in loans],
+        "borrow_id string, member_id string, copy_id string, borrow_date date, due_date date, return_date date, return_status string, damaged boolean",
     )
     copies = spark.createDataFrame([("c", "k")], "copy_id string, book_id string")
     titles = spark.createDataFrame([("k", Decimal("12.50"))], "book_id string, purchase_price decimal(6,2)")
-    got = derive_fines(df, copies, titles, "2021-01-01", "2021-12-31", 0.0)
+    got = derive_fines(df, copies, titles, "2021-01-01", "2021-12-31")
     assert rows(got, "borrow_id", "fine_type", F.col("fine_amount").cast("string"), "fine_date") == [
         ("b0", "Lost Book", "32.50", D(2021, 1, 12)),
         ("b2", "Late Return", "30.00", D(2021, 1, 12)),
         ("b8", "Late Return", "30.00", D(2021, 1, 18)),
     ]
     assert rows(got, "fine_id") == [("F000001",), ("F000002",), ("F000003",)]
-    again = derive_fines(df, copies, titles, "2021-01-01", "2021-12-31", 0.0, got)
+    again = derive_fines(df, copies, titles, "2021-01-01", "2021-12-31", got)
     assert again.count() == 0
-    damaged = derive_fines(df, copies, titles, "2021-01-01", "2021-12-31", 1.0)
+    damaged = derive_fines(df.withColumn("damaged", F.lit(True)), copies, titles, "2021-01-01", "2021-12-31")
     assert damaged.where("fine_type = 'Damage'").count() == 4
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from shelfstar.catalog.changes import BOOK_HISTORY_SQL, FINES_SQL, all_fines, book_history
-from shelfstar.catalog.common import AS_OF, cents, pct_sql, query, ratio_sql, with_roles
+from shelfstar.catalog.common import AS_OF, ID_SQL, cents, pct_sql, query, ratio_sql, with_roles
 from shelfstar.operators.profile import range_profile, value_profile
-from shelfstar.plans import rules
+from shelfstar.plans import constraints, rules
 from shelfstar.sources.commerce import SHIFT_HOURS, WORK_SECONDS, Commerce
 
 
@@ -73,7 +73,43 @@ def payment_rules(src: Commerce) -> DataFrame:
     )
 
 
+def operational(src: Commerce) -> dict[str, DataFrame]:
+    """The commerce tables as operational tables. Balances in whole hundreds stand for telephone numbers, so some are shared."""
+    tel = src.table("customer").select(
+        F.col("c_custkey").alias("member_id"),
+        F.floor("c_acctbal").cast("string").alias("member_tel"),
+        F.col("c_name").alias("member_email"),
+    )
+    line = F.concat_ws("-", "purchase_order_id", "book_id", "supplier_id", "quantity")
+    return {
+        "members": src.members().join(tel, "member_id"),
+        "suppliers": src.suppliers(),
+        "book_titles": src.titles(),
+        "book_copies": src.copies(),
+        "borrowed_books": src.loans(),
+        "payments": src.payments(),
+        "discounts": src.discounts(),
+        "book_orders": src.book_orders(),
+        "sales_details": src.sales_details(),
+        "purchase_orders": src.purchase_orders().where(F.col("purchase_order_id") % 5 != 0),
+        "purchase_details": src.purchase_details().withColumn("detail_id", line),
+    }
+
+
+def declared(src: Commerce) -> DataFrame:
+    """All declared constraints over all rows; every fifth purchase order is missing."""
+    return constraints.declared_violations(operational(src)).select("rule", "key")
+
+
+def dated_orders(src: Commerce) -> DataFrame:
+    """Orders of which those without a discount came without a date: they get the day of the load."""
+    undated = src.book_orders().withColumn("sales_date", F.when(F.col("discount_id").isNotNull(), F.col("sales_date")))
+    return rules.default_sales_dates(undated, AS_OF).select("order_id", "sales_date")
+
+
 QUERIES = {
+    "rule_declared": query(declared),
+    "default_sales_dates": query(dated_orders),
     "rule_expire_membership": query(expired_members),
     "rule_member_status": query(stale_status),
     "rule_titles": query(lambda s: rules.title_violations(s.titles(), AS_OF)),
@@ -124,7 +160,86 @@ def _violation(rule: str, key: str, message: str, source: str) -> str:
     )
 
 
+def _declared_sql() -> str:
+    """One SELECT per constraint that the commerce tables have the columns for."""
+    tables = {
+        "members": ("m", "member_id", "member_name member_tel member_email member_gender member_age member_address member_status "
+                    "registration_date expire_date"),
+        "suppliers": ("s", "supplier_id", "supplier_name supplier_address"),
+        "book_titles": ("t", "book_id", "title author genre publication_year purchase_price sales_price"),
+        "book_copies": ("c", "copy_id", "book_id book_status"),
+        "borrowed_books": ("lent", "borrow_id", "member_id copy_id borrow_date due_date return_status"),
+        "payments": ("p", "payment_id", "member_id payment_date payment_method payment_type"),
+        "discounts": ("discounts", "discount_id", "discount_name"),
+        "book_orders": ("b", "order_id", "discount_id member_id"),
+        "sales_details": ("d", "sales_id", "order_id book_id"),
+        "purchase_orders": ("o", "purchase_order_id", "supplier_id purchase_date total_amount order_status"),
+        "purchase_details": ("l", "detail_id", "purchase_order_id book_id"),
+    }
+    broken = {
+        "members member_gender": "member_gender NOT IN ('female', 'male')",
+        "members member_status": "member_status NOT IN ('active', 'expire')",
+        "members member_age range": "member_age NOT BETWEEN 12 AND 74",
+        "book_titles purchase_price range": "purchase_price < 0",
+        "book_titles sales_price range": "sales_price < 0",
+        "book_titles popularity range": "popularity NOT BETWEEN 1 AND 5",
+        "book_copies book_status": "book_status NOT IN ('available', 'reserved', 'borrowed', 'unavailable')",
+        "borrowed_books return_status": "return_status NOT IN ('On loan', 'Returned', 'Overdue', 'Lost')",
+        "payments payment_method": "payment_method NOT IN ('Tng', 'Cash', 'Duitnow')",
+        "payments payment_type": "payment_type NOT IN ('Fines', 'Membership Registration', 'Book Sale')",
+        "discounts discount_rate range": "discount_rate NOT BETWEEN 0 AND 100",
+        "discounts discount_start before discount_end": "discount_start >= discount_end",
+        "purchase_orders order_status": "order_status NOT IN ('Received', 'Pending', 'Cancelled')",
+        "purchase_details quantity range": "quantity < 0",
+    }
+    parents = {
+        "book_copies book_id": "book_titles", "borrowed_books member_id": "members", "borrowed_books copy_id": "book_copies",
+        "payments member_id": "members", "book_orders discount_id": "discounts", "book_orders member_id": "members",
+        "sales_details order_id": "book_orders", "sales_details book_id": "book_titles", "purchase_orders supplier_id": "suppliers",
+        "purchase_details purchase_order_id": "purchase_orders", "purchase_details book_id": "book_titles",
+    }
+    out = []
+    for name, (sql, key, required) in tables.items():
+        for c in (key, *required.split()):
+            out.append(f"SELECT '{name} {c} required' AS rule, CAST({key} AS VARCHAR) AS key FROM {sql} WHERE {c} IS NULL")
+        out.append(f"SELECT '{name} primary key', CAST({key} AS VARCHAR) FROM {sql} GROUP BY {key} HAVING count(*) > 1 AND {key} IS NOT NULL")
+    for c in ("member_tel", "member_email"):
+        out.append(f"SELECT 'members {c} unique', {c} FROM m GROUP BY {c} HAVING count(*) > 1 AND {c} IS NOT NULL")
+    for rule, test in broken.items():
+        sql, key, _ = tables[rule.split()[0]]
+        out.append(f"SELECT '{rule}', CAST({key} AS VARCHAR) FROM {sql} WHERE {test}")
+    for rule, parent in parents.items():
+        child, c = rule.split()
+        sql, key, _ = tables[child]
+        above, parent_key, _ = tables[parent]
+        out.append(f"SELECT '{rule} reference', CAST({key} AS VARCHAR) FROM {sql} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {parent_key} FROM {above})")
+    return f"""{with_roles("members", "sups", "loans", "discounts", "sales", "lines", "po")},
+m AS (SELECT members.*, CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR) AS member_tel, c_name AS member_email, c_name AS member_address,
+    CASE WHEN expire_date > DATE '{AS_OF}' THEN 'active' ELSE 'expire' END AS member_status
+  FROM members JOIN customer ON c_custkey = member_id),
+s AS (SELECT *, supplier_name AS supplier_address FROM sups),
+lent AS (SELECT *, book_id AS copy_id FROM loans),
+t AS (SELECT p_partkey AS book_id, p_name AS title, p_brand AS author, p_type AS genre, p_size + 1960 AS publication_year,
+    CAST(p_retailprice AS DECIMAL(18,2)) - 100 AS purchase_price, CAST(p_retailprice AS DECIMAL(18,2)) AS sales_price,
+    CAST(p_size / 10 AS DECIMAL(3,1)) AS popularity FROM part),
+c AS (SELECT p_partkey AS copy_id, p_partkey AS book_id, CASE p_brand WHEN 'Brand#25' THEN 'unavailable' WHEN 'Brand#24' THEN 'reserved'
+    ELSE 'available' END AS book_status FROM part),
+p AS (SELECT o_orderkey AS payment_id, o_custkey AS member_id, o_orderdate AS payment_date, 'Cash' AS payment_method,
+    'Fines' AS payment_type FROM orders),
+b AS (SELECT o_orderkey AS order_id, o_custkey AS member_id, CASE WHEN o_orderpriority <> '4-NOT SPECIFIED'
+    THEN concat('D00', substring(o_orderpriority, 1, 1)) END AS discount_id FROM orders),
+d AS (SELECT {ID_SQL} AS sales_id, l_orderkey AS order_id, l_partkey AS book_id FROM lineitem),
+o AS (SELECT po_id AS purchase_order_id, supplier_id, po_date AS purchase_date, total_amount, 'Received' AS order_status FROM po
+  WHERE po_id % 5 <> 0),
+l AS (SELECT concat_ws('-', po_id, book_id, supplier_id, quantity) AS detail_id, po_id AS purchase_order_id, book_id, quantity FROM lines)
+""" + "\nUNION ALL ".join(f"({x})" for x in out)
+
+
 ORACLE = {
+    "rule_declared": _declared_sql(),
+    "default_sales_dates": f"""
+SELECT o_orderkey AS order_id, CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN CAST(o_orderdate AS DATE)
+  ELSE DATE '{AS_OF}' END AS sales_date FROM orders""",
     "rule_expire_membership": f"""{with_roles("members")}
 SELECT member_id, CASE WHEN expire_date <= DATE '{AS_OF}' THEN 'expire' ELSE 'active' END
   AS member_status FROM members""",

@@ -6,17 +6,20 @@ import uuid
 from dataclasses import replace
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from shelfstar.catalog.common import AS_OF, pct_sql, query, ratio_sql, with_roles
+from shelfstar.catalog.changes import ORACLE as CHANGE_SQL
+from shelfstar.catalog.changes import price_list
 from shelfstar.catalog.reports import ORACLE as REPORT_SQL
-from shelfstar.catalog.reports import REPORT_YEARS
+from shelfstar.catalog.reports import REPORT2_SQL, REPORT_YEARS, line_activity
 from shelfstar.catalog.star import CUT_DAY, CUT_YEAR, LAST_KNOWN_DAY, SINCE, sources
 from shelfstar.plans import preference, supplier_geo
 from shelfstar.plans.load import initial_load
 from shelfstar.session import shared_folder
 from shelfstar.sources.commerce import Commerce
 from shelfstar.sources.store import Store
+from shelfstar.sources.tables import insert_new, read_table, refresh, write_report
 
 
 @lru_cache(maxsize=8)
@@ -97,7 +100,30 @@ def _supplier_months(src: Commerce, years: tuple[int, int] | None = None) -> Dat
     return supplier_geo.supplier_months(supplier_geo.po_values(star.fact_purchase), star.dim_date, star.dim_suppliers, years)
 
 
+def report_file(src: Commerce) -> DataFrame:
+    """Report 2 as an ordered file, read back with the number of each line."""
+    path = f"{shared_folder(src.spark)}/report-{uuid.uuid4().hex}"
+    report = preference.preference_report(line_activity(src, REPORT_YEARS), src.genders())
+    write_report(report.select("year", "genre", "borrow_cnt", "sales_cnt", "sort_section"), path, ["year", "sort_section", "genre"], "parquet")
+    lines = src.spark.read.parquet(path).select("*", "_metadata.file_name", "_metadata.row_index")
+    number = F.row_number().over(W.orderBy("file_name", "row_index"))
+    return lines.select(number.alias("line"), "year", "genre", "borrow_cnt", "sales_cnt")
+
+
+def refreshed(src: Commerce) -> DataFrame:
+    """A price list that is replaced as a whole, then given the parts that it lacks, twice."""
+    path = f"{shared_folder(src.spark)}/prices-{uuid.uuid4().hex}"
+    target, batch = price_list(src)
+    refresh(batch, path)
+    refresh(target, path)
+    for _ in range(2):
+        insert_new(batch, path, ["p_partkey"], batch.schema)
+    return read_table(src.spark, path, batch.schema)
+
+
 QUERIES = {
+    "report_file": query(report_file),
+    "sink_refresh_insert": query(refreshed),
     "stored_load_counts": query(load_counts),
     "stored_borrowing": query(lambda s: _named(s, "fact_borrowing", "dim_members", "dim_book")),
     "stored_sales": query(lambda s: _named(s, "fact_sales", "dim_members", "dim_book")),
@@ -191,6 +217,10 @@ def _once(sql: str) -> str:
 _TOTAL = "CAST(total_amount AS DECIMAL(18,2)) AS v"
 
 ORACLE = {
+    "report_file": f"""{REPORT2_SQL}
+SELECT CAST(row_number() OVER (ORDER BY year, sort_section, genre) AS INTEGER) AS line, CAST(year AS VARCHAR) AS year, genre,
+  b AS borrow_cnt, s AS sales_cnt FROM u""",
+    "sink_refresh_insert": CHANGE_SQL["merge_insert_absent"],
     "stored_load_counts": _COUNTS_SQL,
     "stored_borrowing": f"""{with_roles("loans")}, {_LENT},
 rates AS (SELECT book_id, {pct_sql("count(*) FILTER (WHERE return_status = 'Returned')", "count(*)")} AS rate

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from shelfstar.functions.numbers import count_percent
+from shelfstar.session import settle
 
 
 def value_profile(df: DataFrame, column: str) -> DataFrame:
-    """Rows and percent of all rows per value."""
-    total = df.agg(F.count(F.lit(1))).scalar()
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("cnt"))
+    """Rows and percent of all rows per value. The total is taken from the counts, so the rows are read once."""
+    counts = settle(df.groupBy(column).agg(F.count(F.lit(1)).alias("cnt")))
+    total = counts.agg(F.sum("cnt")).scalar()
     return counts.withColumn("pct", count_percent(F.col("cnt"), total))
 
 

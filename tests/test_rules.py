@@ -5,7 +5,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from shelfstar.plans import rules
+from shelfstar.plans import constraints, rules
 from shelfstar.sources.schemas import OPERATIONAL
 from tests.conftest import rows
 
@@ -27,7 +27,7 @@ def test_declared_checks_find_every_kind(spark):
     titles = spark.createDataFrame(
         [("B1", "t", "a", "g", 2000, Decimal(1), Decimal(1), Decimal(1))], OPERATIONAL["book_titles"]
     )
-    got = rules.declared_violations({"book_copies": copies, "book_titles": titles})
+    got = constraints.declared_violations({"book_copies": copies, "book_titles": titles})
     assert rows(got, "rule", "key") == [
         ("book_copies book_id reference", "C1"),
         ("book_copies book_status", "C1"),
@@ -152,3 +152,55 @@ def test_sales(spark):
     assert rows(rules.quantity_violations(details), "key") == [("s4",)]
     blank = spark.createDataFrame([("a", None)], "order_id string, sales_date date")
     assert rows(rules.default_sales_dates(blank, "2020-01-01"), "sales_date") == [(D(2020, 1, 1),)]
+
+
+def test_declared_constraints_of_every_kind(spark):
+    members = spark.createDataFrame(
+        [
+            ("M1", "a", "t1", "e1", "female", 12, "x", "active", D(2020, 1, 1), D(2021, 1, 1)),
+            ("M2", None, "t1", "e2", "other", 75, "x", "active", D(2020, 1, 1), None),
+            ("M3", "c", None, "e1", "male", None, "x", "gone", D(2020, 1, 1), D(2021, 1, 1)),
+            (None, "d", None, "e3", "male", 74, "x", "expire", D(2020, 1, 1), D(2021, 1, 1)),
+        ],
+        OPERATIONAL["members"],
+    )
+    got = rows(constraints.declared_violations({"members": members}))
+    assert got == sorted(
+        [
+            ("members member_name required", "M2", "member_name is NULL"),
+            ("members member_tel unique", "t1", "2 rows"),
+            ("members member_email unique", "e1", "2 rows"),
+            ("members member_gender", "M2", "member_gender is other, not one of female, male"),
+            ("members member_age range", "M2", "member_age is 75, outside 12..74"),
+            ("members expire_date required", "M2", "expire_date is NULL"),
+            ("members member_tel required", "M3", "member_tel is NULL"),
+            ("members member_tel required", None, "member_tel is NULL"),
+            ("members member_age required", "M3", "member_age is NULL"),
+            ("members member_status", "M3", "member_status is gone, not one of active, expire"),
+            ("members member_id required", None, "member_id is NULL"),
+        ],
+        key=lambda t: tuple((v is not None, str(v)) for v in t),
+    )
+    schedules = spark.createDataFrame(
+        [("a", "s", "p|q", D(2020, 1, 1)), ("b", "s", "p|q", D(2020, 1, 1)), ("c", "s", "p", D(2020, 1, 1)), ("d", "s", None, D(2020, 1, 1))],
+        OPERATIONAL["shift_schedules"],
+    )
+    found = rows(constraints.declared_violations({"shift_schedules": schedules}), "rule", "key")
+    assert ("shift_schedules staff_id, shift_date unique", "p|q|2020-01-01") in found and len(found) == 2
+    discounts = spark.createDataFrame(
+        [("D1", "n", Decimal(101), D(2020, 1, 2), D(2020, 1, 2)), ("D2", "n", None, D(2020, 1, 2), None)], OPERATIONAL["discounts"]
+    )
+    assert rows(constraints.declared_violations({"discounts": discounts}), "rule", "key") == [
+        ("discounts discount_rate range", "D1"), ("discounts discount_start before discount_end", "D1"),
+    ]
+    assert constraints.declared_violations({"members": members.limit(0)}).count() == 0
+
+
+def test_rules_of_a_table_take_one_scan_and_one_grouping(spark, tmp_path):
+    path = str(tmp_path / "members")
+    spark.createDataFrame([], OPERATIONAL["members"]).write.parquet(path)
+    members = spark.read.schema(OPERATIONAL["members"]).parquet(path)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert plan(constraints.row_violations("members", members)).count("FileScan") == 1
+    unique = plan(constraints.unique_violations("members", members))
+    assert unique.count("FileScan") == 1 and unique.count("Exchange") == 1

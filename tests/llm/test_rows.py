@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -178,6 +179,86 @@ def test_field_adds_and_keeps(spark, docs_of, odd):
     assert pii.mask(docs_of([])).count() == 0
 
 
+@pytest.fixture(scope="module")
+def own_field(spark):
+    """Fitted as the query fits it, on the larger table."""
+    return pii.fit(pii.sample_of(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")))
+
+
+def test_added_spans_are_numbers_of_their_kind(spark, own_field):
+    added = []
+    for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").collect():
+        t = r.text or ""
+        base, every = pii.find_spans(t, own_field)
+        assert set(base) <= set(every)
+        added += [(k, t[a:b], t[max(0, a - 9) : a]) for a, k, b in every if (a, k, b) not in base]
+    digits = [len(re.sub("[^0-9]", "", s)) for _, s, _ in added]
+    assert all(n >= 10 or "@" in s or k == "ip" for n, (k, s, _) in zip(digits, added, strict=True))
+    assert not any("version" in before for _, _, before in added)
+
+
+def test_tables_and_dates_are_no_personal_data(own_field):
+    rng = random.Random(4)
+    for text in (
+        "due 2024 12 31 and 1999 2000",
+        "version 3.0 of 2.0. and 4.",
+        " ".join(str(rng.randint(0, 10**6)) for _ in range(4000)),
+        "\n".join(" ".join(f"{rng.random():.3f}" for _ in range(6)) for _ in range(300)),
+    ):
+        assert [s for s in pii.find_spans(text, own_field)[1] if s not in pii.base_spans(text)] == []
+
+
+def test_cards_side_by_side_are_found(own_field):
+    text = "pay 4111 1111 1111 1111 4012 8888 8888 1881 now"
+    assert pii.base_spans(text) == []
+    found = pii.find_spans(text, own_field)[1]
+    assert found in ([], [(4, "card", 23), (24, "card", 43)])
+
+
+def test_very_long_texts_are_read_in_time(own_field):
+    rng = random.Random(8)
+    numbers = " ".join(str(rng.randint(0, 10**6)) for _ in range(500_000))
+    mails = " ".join(f"a{k}@b" for k in range(200_000))
+    hexes = " ".join(f"{rng.getrandbits(64):x}" for _ in range(150_000))
+    for text in (numbers, mails, hexes, "@" * 200_000):
+        start = time.perf_counter()
+        pii.find_spans(text, own_field)
+        assert time.perf_counter() - start < 60
+
+
+def every_segmentation(island, field):
+    """The greatest score over all segmentations, by trying them all."""
+    at, spans = pii.candidates(island)
+    best = (-1e300, None)
+
+    def walk(i, y, score, out):
+        nonlocal best
+        if i == len(at) - 1:
+            best = max(best, (score, tuple(out)), key=lambda s: s[0])
+            return
+        for (a, b), (held, kinds) in spans.items():
+            if a == i:
+                for z in range(pii.OTHER + 1):
+                    if (z == pii.OTHER and b - a == 1) or (z < pii.OTHER and kinds[z]):
+                        step = field.follow[y, z] + sum(field.weights[f][z] for f in held)
+                        walk(b, z, score + step, out if z == pii.OTHER else [*out, (at[a], pii.KINDS[z], at[b])])
+
+    walk(0, pii.OTHER, 0.0, [])
+    return list(best[1])
+
+
+def test_decoder_finds_the_best_segmentation(own_field):
+    for island in ("+1 555 123 4567", "a@b.org", "1.2.3.4", "4111-1111-1111-1111", "x@y 12", "1234567890", "(555) 123-4567"):
+        assert own_field.decode(island) == every_segmentation(island, own_field)
+
+
+def test_windows_find_what_one_pass_finds(own_field, monkeypatch):
+    text = " ".join(f"joe{k}@host{k}.org {k}@ 4111 1111 1111 1111" for k in range(12)).replace(" 4", "@4")
+    whole = own_field.decode(text)
+    monkeypatch.setattr(pii, "WINDOW", 64)
+    assert own_field.decode(text) == whole
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     return pieces.Vocabulary.read(pieces.MODEL)

@@ -107,6 +107,27 @@ def digest(text: Column) -> Column:
     return F.xxhash64(F.trim(F.regexp_replace(ascii_lower(F.coalesce(text, F.lit(""))), SPACES, " ")))
 
 
+def ascending(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order, and those of them that occur more than once. Sorting is far faster here than NumPy's `unique`, which
+    hashes first."""
+    values = np.sort(values)
+    same = values[1:] == values[:-1]
+    again = values[1:][same]
+    return values[np.concatenate(([True], ~same))[: len(values)]], again[np.concatenate(([True], again[1:] != again[:-1]))[: len(again)]]
+
+
+def among(values: np.ndarray, wanted: np.ndarray, bits: int) -> np.ndarray:
+    """Places of the values (of so many bits) that are among `wanted` (ascending). A bitmap of their leading bits leaves few to search for."""
+    if not len(wanted):
+        return np.zeros(0, np.int64)
+    drop = np.uint64(max(0, bits - 22))
+    marked = np.zeros(1 << min(bits, 22), bool)
+    marked[(wanted >> drop).astype(np.int64)] = True
+    likely = np.flatnonzero(marked[(values >> drop).astype(np.int64)])
+    found = values[likely]
+    return likely[wanted[np.minimum(np.searchsorted(wanted, found), len(wanted) - 1)] == found]
+
+
 def masks(radius: int) -> np.ndarray:
     """All 64-bit words with at most `radius` bits set."""
     out = [sum(1 << b for b in bits) for r in range(radius + 1) for bits in combinations(range(64), r)]
@@ -152,42 +173,43 @@ def links(classes: DataFrame, radius: int = 4) -> DataFrame:
 
     def send(rows: pa.Table) -> pa.Table:
         _, made = variants(rows)
-        keys = np.unique(_keys(made, bits))
+        keys, twice = ascending(_keys(made, bits))
         cuts = np.searchsorted(keys, np.arange((1 << bucket_bits) + 1, dtype=np.uint64) << low)
         mask = np.uint64((1 << int(low)) - 1)
         full = [i for i in range(1 << bucket_bits) if cuts[i] < cuts[i + 1]]
         packed = [pack(keys[cuts[i] : cuts[i + 1]] & mask, kind) for i in full]
+        twices = [pack(part & mask, kind) for part in np.split(twice, np.searchsorted(twice, np.arange(1, 1 << bucket_bits, dtype=np.uint64) << low))]
         unit = rows.column("unit")[0].as_py()
-        return pa.table({"bucket": pa.array(full, pa.int64()), "unit": pa.array([unit] * len(full), pa.int64()), "keys": pa.array(packed, pa.binary())})
+        return pa.table(
+            {
+                "bucket": pa.array(full, pa.int64()),
+                "unit": pa.array([unit] * len(full), pa.int64()),
+                "keys": pa.array(packed, pa.binary()),
+                "twice": pa.array([twices[i] for i in full], pa.binary()),
+            }
+        )
 
     def meet(rows: pa.Table) -> pa.Table:
-        sent = [unpack(x.as_py(), kind) for x in rows.column("keys")]
-        every = np.sort(np.concatenate(sent))
-        shared = np.unique(every[1:][every[1:] == every[:-1]])
+        """For each unit the keys that other units sent too, and those that it has twice itself."""
+        sent, own = ([unpack(x.as_py(), kind) for x in rows.column(c)] for c in ("keys", "twice"))
+        shared = ascending(np.concatenate(sent))[1]
         high = np.uint64(rows.column("bucket")[0].as_py()) << low
         out: dict[str, list] = {"unit": [], "shared": []}
-        for unit, keys in zip(rows.column("unit").to_pylist(), sent, strict=True):
-            at = np.searchsorted(shared, keys)
-            hit = keys[shared[np.minimum(at, len(shared) - 1)] == keys] if len(shared) else keys[:0]
+        for unit, keys, twice in zip(rows.column("unit").to_pylist(), sent, own, strict=True):
+            hit = ascending(np.concatenate((keys[among(keys, shared, int(low))], twice)))[0]
             if len(hit):
                 out["unit"].append(unit)
                 out["shared"].append((hit | high).tobytes())
         return pa.table({"unit": pa.array(out["unit"], pa.int64()), "shared": pa.array(out["shared"], pa.binary())})
 
     def answer(rows: pa.Table, told: pa.Table) -> pa.Table:
-        """Links within the unit, and for each shared variant its smallest holder in the unit."""
+        """Links within the unit, and for each variant that met another its smallest holder in the unit."""
         fps, made = variants(rows)
         keys = _keys(made, bits)
-        shared = np.sort(np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in told.column("shared")] or [keys[:0]]))
-        order = np.argsort(keys, kind="stable")
-        again = np.zeros(len(keys), bool)
-        same = keys[order][1:] == keys[order][:-1]
-        again[order[1:][same]] = again[order[:-1][same]] = True
-        if len(shared):
-            again |= shared[np.minimum(np.searchsorted(shared, keys), len(shared) - 1)] == keys
-        del keys, order, same
-        holder = np.repeat(np.arange(len(fps)), len(around))[again]
-        value = made[again]
+        told_keys = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in told.column("shared")] or [keys[:0]])
+        again = among(keys, ascending(told_keys)[0], bits)
+        holder, value = again // len(around), made[again]
+        del keys, made
         order = np.argsort(value, kind="stable")  # holders of a variant stay in order, the smallest first
         value, holder = value[order], holder[order]
         first = np.concatenate(([True], value[1:] != value[:-1])) if len(value) else np.zeros(0, bool)
@@ -196,12 +218,6 @@ def links(classes: DataFrame, radius: int = 4) -> DataFrame:
         signed = fps.view(np.int64)
         own_a, own_b = signed[pairs // len(fps)], signed[pairs % len(fps)]
         met, met_by = value[first], signed[holder[first]]
-        if len(shared):
-            key = _keys(met, bits)
-            wanted = shared[np.minimum(np.searchsorted(shared, key), len(shared) - 1)] == key
-            met, met_by = met[wanted], met_by[wanted]
-        else:
-            met, met_by = met[:0], met_by[:0]
         return pa.table(
             {
                 "variant": pa.array(np.concatenate([np.zeros(len(own_a), np.int64), met.view(np.int64)])),
@@ -211,7 +227,7 @@ def links(classes: DataFrame, radius: int = 4) -> DataFrame:
             }
         )
 
-    sent = dealt.groupBy("unit").applyInArrow(send, "bucket long, unit long, keys binary")
+    sent = dealt.groupBy("unit").applyInArrow(send, "bucket long, unit long, keys binary, twice binary")
     told = sent.groupBy("bucket").applyInArrow(meet, "unit long, shared binary")
     found = written(
         dealt.groupBy("unit").cogroup(told.groupBy("unit")).applyInArrow(answer, "variant long, a long, b long, whole boolean"),
@@ -237,6 +253,11 @@ def likely(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
     """Whether each row of bins `a` and each of `b` agree as often as sets of this similarity do, less five standard deviations."""
     filled = 256 - (a == 0).astype(np.float32) @ (b == 0).astype(np.float32).T
     equal = np.stack([((b == row) & (row != 0)).sum(1, dtype=np.int32) for row in a])
+    return agrees(equal, filled, similarity)
+
+
+def agrees(equal: np.ndarray, filled: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether so many equal of so many filled bins are what sets of this similarity have, less five standard deviations."""
     return equal >= similarity * filled - 5 * np.sqrt(similarity * (1 - similarity) * filled)
 
 
@@ -283,6 +304,33 @@ def alike(now: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
     return dealt.sortWithinPartitions("cell").mapInArrow(compared, "a long, b long").distinct()
 
 
+def around_hubs(now: DataFrame, hubs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
+    """a, b: pairs of a hub of `hubs` (key, hub, hub_root; a few per key) and a row of `now` (key, fp, root) of that key, of different
+    roots, whose bins in `held` agree well enough. A row meets its key's hubs as one list, so that no pairs are joined."""
+    known = held.select(F.col("fp").alias("hub"), "bins")
+    hub = F.struct("hub", "hub_root", "bins")
+    lists = hubs.join(known, "hub").groupBy("key").agg(F.collect_list(hub).alias("hubs"))
+    rows = now.select("key", "fp", "root").join(held.select("fp", "bins"), "fp").join(lists, "key")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                own, listed = part.column("bins"), part.column("hubs")
+                one = np.repeat(np.arange(part.num_rows), listed.value_lengths().to_numpy())
+                flat = listed.flatten()
+                fp, root = part.column("fp").to_numpy(), part.column("root").to_numpy()
+                mine = np.frombuffer(b"".join(own.to_pylist()), np.uint8).reshape(-1, 256)[one]
+                theirs = np.frombuffer(b"".join(flat.field("bins").to_pylist()), np.uint8).reshape(-1, 256)
+                filled = 256 - ((mine == 0) & (theirs == 0)).sum(axis=1)
+                equal = ((mine == theirs) & (mine != 0)).sum(axis=1)
+                good = agrees(equal, filled, similarity) & (root[one] != flat.field("hub_root").to_numpy())
+                a, b = flat.field("hub").to_numpy()[good], fp[one][good]
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return rows.select("fp", "root", "bins", "hubs").mapInArrow(compared, "a long, b long").distinct()
+
+
 def meeting(holders: DataFrame) -> DataFrame:
     """The rows of `holders` (key, fp) whose key another one has too."""
     shared = holders.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
@@ -295,15 +343,15 @@ def similar(holders: DataFrame, texts: DataFrame, shingle: int, similarity: floa
 
     In two rounds the holders of a key that are in other components are compared with its hubs, which are then done: first
     with one, the holder of the component that is rarest there and that meets most others over all its keys, then with eight. So no
-    pairs are made within a group of copies. What is then left under a key in several components is compared block by block on
-    bins of hashes, and only the pairs that may be similar are verified by their whole sets.
+    pairs are made within a group of copies. What is then left under a key in several components is compared block by block. In rounds
+    and blocks bins of hashes are compared first, and only the pairs that may be similar are verified by their whole sets.
     """
     spark = holders.sparkSession
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for fp, text in zip(batch.column("fp"), batch.column("text"), strict=True):
-                found = np.unique(np.concatenate([*shingle_hashes(text.as_py(), shingle), np.zeros(0, np.uint64)]))
+                found = ascending(np.concatenate([*shingle_hashes(text.as_py(), shingle), np.zeros(0, np.uint64)]))[0]
                 columns = [pa.array([fp.as_py()]), pa.array([found.view(np.int64)], pa.list_(pa.int64())), pa.array([bins(found)])]
                 yield pa.RecordBatch.from_arrays(columns, ["fp", "set", "bins"])
 
@@ -343,8 +391,7 @@ def similar(holders: DataFrame, texts: DataFrame, shingle: int, similarity: floa
         best = F.min(F.struct("c", (-F.col("degree")).alias("d"), "fp", "root")).alias("best")
         hubs = ranked.groupBy("key", F.pmod(F.xxhash64("fp"), F.lit(parts)).alias("part")).agg(best)
         hubs = written(hubs.select("key", F.col("best.fp").alias("hub"), F.col("best.root").alias("hub_root")), "hubs")
-        pairs = now.join(hubs, "key").filter("root <> hub_root").select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
-        found = found.union(checked(pairs))
+        found = found.union(checked(around_hubs(now, hubs, held, similarity)))
         left = now.join(hubs.select("key", F.col("hub").alias("fp")), ["key", "fp"], "left_anti")
         now = written(apart(left.select("key", "fp"), components(found).withColumnRenamed("node", "fp")), "meetings")
         if now.isEmpty():

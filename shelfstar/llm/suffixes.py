@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfstar.llm.common import table, written
-from shelfstar.llm.simhash import pack, unpack
+from shelfstar.llm.simhash import ascending, pack, unpack
 
 LENGTH, PIECE = 50, 24
 #: Bytes of text in a unit, hashes in a bucket of the first pass, fragments in a bucket of the second, on average.
@@ -146,7 +146,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     bucket_bits = max(0, int(around // BUCKET).bit_length())
     low = np.uint64(bits - bucket_bits)
     kind = np.uint32 if (1 << bits) > (1 << 14) * max(1, 2 * UNIT // (length - PIECE)) else np.uint16
-    unit = F.pmod(F.xxhash64("doc"), F.lit(units)).alias("unit")
+    # Documents without an id are dealt by their texts, so that they are not all in one unit.
+    unit = F.pmod(F.when(F.col("doc") == LAST, F.col("hash")).otherwise(F.xxhash64("doc")), F.lit(units)).alias("unit")
 
     # A text that a smaller document has whole is removed whole, and stands aside from the rest.
     owners = light.filter(F.col("size") >= length).groupBy("digest").agg(F.min("doc").alias("owner"), F.max("doc").alias("latest"))
@@ -169,7 +170,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     def send(rows: pa.Table, told: pa.Table) -> pa.Table:
         rows = own(rows, told)
         _, data, ends = _read(rows)
-        keys = np.unique(minimizers(data, ends, length)[3] >> np.uint64(64 - bits))
+        keys = ascending(minimizers(data, ends, length)[3] >> np.uint64(64 - bits))[0]
         cuts = np.searchsorted(keys, np.arange((1 << bucket_bits) + 1, dtype=np.uint64) << low)
         mask = np.uint64((1 << int(low)) - 1)
         full = [i for i in range(1 << bucket_bits) if cuts[i] < cuts[i + 1]]
@@ -179,8 +180,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     def meet(rows: pa.Table) -> pa.Table:
         sent = [unpack(x.as_py(), kind) for x in rows.column("keys")]
-        every = np.sort(np.concatenate(sent))
-        shared = np.unique(every[1:][every[1:] == every[:-1]])
+        shared = ascending(np.concatenate(sent))[1]
         high = np.uint64(rows.column("bucket")[0].as_py()) << low
         hits = [np.intersect1d(keys, shared, assume_unique=True) | high for keys in sent]
         found = [(u, h.tobytes()) for u, h in zip(rows.column("unit").to_pylist(), hits, strict=True) if len(h)]

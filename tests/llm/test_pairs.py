@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -372,3 +373,60 @@ def test_blocks_cover_the_fingerprint_once(spark):
     for r in (0, 3, 20, 63):
         at = ones.filter(F.col("r") == r).select(F.sum(F.bit_count(decontaminate._block(F.lit(-1).cast("long"), F.col("k"), r))))
         assert at.first()[0] == 64
+
+
+def brute_components(n, linked):
+    root = list(range(n))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, j in linked:
+        a, b = sorted((find(i), find(j)))
+        root[b] = a
+    return [find(i) for i in range(n)]
+
+
+def test_fingerprints_of_a_table_equal_brute_force(spark):
+    folder = "/root/testdata/sf0.01"
+    got = {r.doc_id: r for r in simhash.op10_simhash_near_dedup(spark, folder).collect()}
+    ids = sorted(got)
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    fps = np.array([simhash.fingerprint(texts[i], 4) for i in ids], np.int64).view(np.uint64)
+    assert [got[i].fingerprint for i in ids] == [f"{f:016x}" for f in fps]
+    near = np.argwhere(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 4)
+    roots = brute_components(len(ids), near)
+    assert [got[i].component_id for i in ids] == [ids[r] for r in roots]
+
+
+def test_near_copies_of_a_table_equal_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    kept = sorted(r.doc_id for r in simhash.drop_near_duplicates(docs).select("doc_id").collect())
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    sets = [set(h for part in simhash.shingle_hashes(t, 5) for h in part.tolist()) for _, t in rows]
+    by_hash = {}
+    for k, s in enumerate(sets):
+        for h in s or {"none"}:
+            by_hash.setdefault(h, []).append(k)
+    common = Counter()
+    for holders in by_hash.values():
+        for x in range(len(holders)):
+            for y in range(x):
+                common[holders[y], holders[x]] += 1
+    linked = [(a, b) for (a, b), n in common.items() if n >= 0.8 * (len(sets[a] | sets[b]) or 1)]
+    roots = brute_components(len(rows), linked)
+    assert kept == sorted(rows[r][0] for r in set(roots))
+
+
+def test_sorted_values_and_lookups():
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 5, 4000):
+        values = rng.integers(0, 3000, size, dtype=np.uint64) << np.uint64(30)
+        counted = Counter(values.tolist())
+        once, twice = simhash.ascending(values)
+        assert once.tolist() == sorted(counted) and twice.tolist() == sorted(v for v, n in counted.items() if n > 1)
+        wanted = once[::3]
+        assert simhash.among(values, wanted, 42).tolist() == [k for k, v in enumerate(values) if v in set(wanted)]

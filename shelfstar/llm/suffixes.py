@@ -18,8 +18,11 @@ memory. Minimizers with more fragments than a bucket should hold are compared wi
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -119,9 +122,22 @@ def owned_elsewhere(fragments: list[bytes], left: np.ndarray, docs: np.ndarray,
     return least, most
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed, since they are shuffled twice."""
+    pack_ = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        raw = pa.array([pack_(x) for x in batch.column("raw").to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], raw], batch.schema.names)
+
+
+def _unpacked(rows: pa.Table) -> list[bytes]:
+    unpack_ = zstandard.ZstdDecompressor().decompress
+    return [unpack_(x) for x in rows.column("raw").to_pylist()]
+
+
 def _read(rows: pa.Table) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Texts of a unit, joined, and their ends."""
-    texts = [x.as_py() for x in rows.column("raw")]
+    texts = _unpacked(rows)
     return texts, np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts], dtype=np.int64)
 
 
@@ -154,7 +170,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     copies = written(
         light.join(owners.filter("owner < latest"), "digest").filter("doc > owner").select("doc", "hash", "size").distinct(), "suffix-copies"
     )
-    dealt = rows.select(unit, "doc", "hash", "raw")
+    dealt = rows.select(unit, "doc", "hash", "raw").mapInArrow(_packed, "unit long, doc long, hash long, raw binary")
     aside = copies.select(unit, F.col("doc").alias("copy"), F.col("hash").alias("copy_hash"), F.lit(None).cast("binary").alias("shared"))
 
     def own(rows: pa.Table, told: pa.Table) -> pa.Table:
@@ -240,7 +256,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
             by.setdefault(x, []).append(i)
         out: dict[str, list] = {c: [] for c in ("doc", "n_bytes", "n_removed", "n_spans", "kept", "spans")}
         seen = set()
-        for doc, text_hash, raw in zip(*(rows.column(c).to_pylist() for c in ("doc", "hash", "raw")), strict=True):
+        for doc, text_hash, raw in zip(*(rows.column(c).to_pylist() for c in ("doc", "hash")), _unpacked(rows), strict=True):
             if (doc, text_hash) in seen:
                 continue
             seen.add((doc, text_hash))
@@ -279,7 +295,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     crowded = written(crowded, "suffix-crowded")
     spans = (
         fragments.join(crowded, "key", "left_anti")
-        .withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+        .select(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"), "doc", "hash", F.col("place").cast("int"), "left", "bytes")
         .groupBy("bucket")
         .applyInArrow(compare, "doc long, hash long, begin long, end long")
     )

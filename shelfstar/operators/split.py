@@ -107,6 +107,40 @@ def neighbour(
     return found.select(*df.columns, name)
 
 
+def running(
+    df: DataFrame,
+    keys: Sequence[str],
+    bucket: str | None,
+    order: Sequence[str],
+    columns: dict[str, tuple[str, Column]],
+    inclusive: bool = True,
+) -> DataFrame:
+    """Add running aggregates along `order` per key.
+
+    `columns` maps a new name to ("sum" | "min", expression). With `inclusive`
+    False the current row is left out. `bucket` as in `neighbour`.
+    """
+    combine = {"sum": F.sum, "min": F.min}
+    parts = [*keys, bucket] if bucket else list(keys)
+    last = W.currentRow if inclusive else -1
+    inside = W.partitionBy(*parts).orderBy(*order).rowsBetween(W.unboundedPreceding, last)
+    out = df.withColumns({f"_l_{n}": combine[kind](expr).over(inside) for n, (kind, expr) in columns.items()})
+    if bucket:
+        totals = df.groupBy(*parts).agg(*[combine[kind](expr).alias(f"_t_{n}") for n, (kind, expr) in columns.items()])
+        earlier = W.partitionBy(*keys).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
+        carried = totals.select(
+            *[F.col(k).alias(f"_k_{k}") for k in parts],
+            *[combine[kind](f"_t_{n}").over(earlier).alias(f"_c_{n}") for n, (kind, _) in columns.items()],
+        )
+        out = _on_keys(out, carried, keys, "inner", bucket)
+    added = []
+    for n, (kind, _) in columns.items():
+        local, before = F.col(f"_l_{n}"), F.col(f"_c_{n}") if bucket else F.lit(None)
+        value = F.coalesce(local, F.lit(0)) + F.coalesce(before, F.lit(0)) if kind == "sum" else F.least(local, before)
+        added.append(value.alias(n))
+    return out.select(*df.columns, *added)
+
+
 def queue(
     df: DataFrame,
     keys: Sequence[str],

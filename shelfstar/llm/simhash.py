@@ -249,16 +249,23 @@ def bins(found: np.ndarray) -> bytes:
     return out.tobytes()
 
 
-def likely(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
-    """Whether each row of bins `a` and each of `b` agree as often as sets of this similarity do, less five standard deviations."""
+def likely(a: np.ndarray, b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether each row of bins `a` and each of `b`, of sets of these sizes, agree as often as sets of this similarity do."""
     filled = 256 - (a == 0).astype(np.float32) @ (b == 0).astype(np.float32).T
     equal = np.stack([((b == row) & (row != 0)).sum(1, dtype=np.int32) for row in a])
-    return agrees(equal, filled, similarity)
+    return agrees(equal, filled, sizes_a[:, None], sizes_b[None, :], similarity)
 
 
-def agrees(equal: np.ndarray, filled: np.ndarray, similarity: float) -> np.ndarray:
-    """Whether so many equal of so many filled bins are what sets of this similarity have, less five standard deviations."""
-    return equal >= similarity * filled - 5 * np.sqrt(similarity * (1 - similarity) * filled)
+def agrees(equal: np.ndarray, filled: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether so many equal of so many filled bins are what sets of `a` and `b` members and this similarity have.
+
+    Every filled bin that differs takes a member that only one of the sets has, and sets of this similarity have at most
+    (1 - similarity) / (1 + similarity) of their members, counted over both, of that kind. That and their sizes rule out no similar pair. For
+    large sets, whose bins hold many members, the share of equal bins is the similarity, less five standard deviations.
+    """
+    alone = (1 - similarity) / (1 + similarity) * (a + b) + 1e-6
+    share = equal >= similarity * filled - 5 * np.sqrt(similarity * (1 - similarity) * filled)
+    return (filled - equal <= alone) & (np.abs(a - b) <= alone) & share
 
 
 def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -278,25 +285,25 @@ def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def alike(now: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
-    """a, b: pairs of `now` (key, fp, root, n) that share a key, not a root, and whose bins in `held` (fp, bins) agree well enough.
+    """a, b: pairs of `now` (key, fp, root, n) that share a key, not a root, and whose bins in `held` (fp, bins, members) agree well enough.
 
     The holders of a key are dealt to blocks of bounded size, and each two blocks are compared in a cell of their own, so a
     key of any size is spread over tasks and what a task sees is bounded.
     """
     blocks = F.ceil(F.col("n") / BLOCK)
     rows = now.agg(F.sum(blocks)).first()[0] or 0
-    own = now.join(held.select("fp", "bins"), "fp").withColumn("own", F.pmod(F.xxhash64("fp"), blocks))
+    own = now.join(held.select("fp", "bins", "members"), "fp").withColumn("own", F.pmod(F.xxhash64("fp"), blocks))
     dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
     dealt = dealt.withColumn("cell", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
-    dealt = dealt.select("cell", "own", "fp", "root", "bins").repartition(max(1, -(-rows // CELL_ROWS)), "cell")
+    dealt = dealt.select("cell", "own", "fp", "root", "bins", "members").repartition(max(1, -(-rows // CELL_ROWS)), "cell")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in cells(batches):
-            own, fp, root = (rows.column(c).to_numpy() for c in ("own", "fp", "root"))
+            own, fp, root, size = (rows.column(c).to_numpy() for c in ("own", "fp", "root", "members"))
             sets = np.frombuffer(b"".join(rows.column("bins").to_pylist()), np.uint8).reshape(-1, 256)
             one = own == own.min()
             two = one if one.all() else ~one
-            good = likely(sets[one], sets[two], similarity) & (root[one][:, None] != root[two][None, :])
+            good = likely(sets[one], sets[two], size[one], size[two], similarity) & (root[one][:, None] != root[two][None, :])
             i, j = np.nonzero(good)
             a, b = fp[one][i], fp[two][j]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
@@ -307,10 +314,10 @@ def alike(now: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
 def around_hubs(now: DataFrame, hubs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
     """a, b: pairs of a hub of `hubs` (key, hub, hub_root; a few per key) and a row of `now` (key, fp, root) of that key, of different
     roots, whose bins in `held` agree well enough. A row meets its key's hubs as one list, so that no pairs are joined."""
-    known = held.select(F.col("fp").alias("hub"), "bins")
-    hub = F.struct("hub", "hub_root", "bins")
+    known = held.select(F.col("fp").alias("hub"), "bins", "members")
+    hub = F.struct("hub", "hub_root", "bins", "members")
     lists = hubs.join(known, "hub").groupBy("key").agg(F.collect_list(hub).alias("hubs"))
-    rows = now.select("key", "fp", "root").join(held.select("fp", "bins"), "fp").join(lists, "key")
+    rows = now.select("key", "fp", "root").join(held.select("fp", "bins", "members"), "fp").join(lists, "key")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -319,16 +326,16 @@ def around_hubs(now: DataFrame, hubs: DataFrame, held: DataFrame, similarity: fl
                 own, listed = part.column("bins"), part.column("hubs")
                 one = np.repeat(np.arange(part.num_rows), listed.value_lengths().to_numpy())
                 flat = listed.flatten()
-                fp, root = part.column("fp").to_numpy(), part.column("root").to_numpy()
+                fp, root, size = (part.column(c).to_numpy() for c in ("fp", "root", "members"))
                 mine = np.frombuffer(b"".join(own.to_pylist()), np.uint8).reshape(-1, 256)[one]
                 theirs = np.frombuffer(b"".join(flat.field("bins").to_pylist()), np.uint8).reshape(-1, 256)
                 filled = 256 - ((mine == 0) & (theirs == 0)).sum(axis=1)
                 equal = ((mine == theirs) & (mine != 0)).sum(axis=1)
-                good = agrees(equal, filled, similarity) & (root[one] != flat.field("hub_root").to_numpy())
+                good = agrees(equal, filled, size[one], flat.field("members").to_numpy(), similarity) & (root[one] != flat.field("hub_root").to_numpy())
                 a, b = flat.field("hub").to_numpy()[good], fp[one][good]
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return rows.select("fp", "root", "bins", "hubs").mapInArrow(compared, "a long, b long").distinct()
+    return rows.select("fp", "root", "bins", "members", "hubs").mapInArrow(compared, "a long, b long").distinct()
 
 
 def meeting(holders: DataFrame) -> DataFrame:
@@ -337,9 +344,21 @@ def meeting(holders: DataFrame) -> DataFrame:
     return holders.join(shared, "key")
 
 
-def similar(holders: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """a, b: links between texts that share a key in `holders` (key, fp) and that have at least this similarity, the shared over
-    all distinct shingles. `fp` names a text in both `holders` and `texts` (fp, text); two texts of one name would be one.
+def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """`roots` (fp, root; a text that is its own root is left out) with further `links` (a, b). Only the links between components are
+    worked on, each as one between their roots."""
+    at = lambda end: F.coalesce(F.col(f"root_{end}"), F.col(end)).alias(end)
+    ends = [roots.select(F.col("fp").alias(e), F.col("root").alias(f"root_{e}")) for e in "ab"]
+    between = links.join(ends[0], "a", "left").join(ends[1], "b", "left").select(at("a"), at("b"))
+    stars = components(between)
+    moved = roots.join(stars, roots["root"] == stars["node"], "left").select("fp", F.coalesce(stars["root"], roots["root"]).alias("root"))
+    return written(moved.union(stars.select("node", "root")), "components")
+
+
+def similar(holders: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Links and components. Links: a, b, between texts that share a key in `holders` (key, fp) and that have at least this similarity, the
+    shared over all distinct shingles; as many as hold each component together. Components: fp, root (the smallest), texts that are their
+    own root left out. `fp` names a text in both `holders` and `texts` (fp, text); two texts of one name would be one.
 
     In two rounds the holders of a key that are in other components are compared with its hubs, which are then done: first
     with one, the holder of the component that is rarest there and that meets most others over all its keys, then with eight. So no
@@ -353,14 +372,11 @@ def similar(holders: DataFrame, texts: DataFrame, shingle: int, similarity: floa
             for fp, text in zip(batch.column("fp"), batch.column("text"), strict=True):
                 found = ascending(np.concatenate([*shingle_hashes(text.as_py(), shingle), np.zeros(0, np.uint64)]))[0]
                 columns = [pa.array([fp.as_py()]), pa.array([found.view(np.int64)], pa.list_(pa.int64())), pa.array([bins(found)])]
-                yield pa.RecordBatch.from_arrays(columns, ["fp", "set", "bins"])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([len(found)], pa.int64())], ["fp", "set", "bins", "members"])
 
-    def apart(left: DataFrame, roots: DataFrame | None) -> DataFrame:
+    def apart(left: DataFrame, roots: DataFrame) -> DataFrame:
         """key, fp, root, n (holders of the key) where a key has holders of several components."""
-        if roots is None:
-            left = left.select("key", "fp", F.col("fp").alias("root"))
-        else:
-            left = left.join(roots, "fp", "left").select("key", "fp", F.coalesce("root", "fp").alias("root"))
+        left = left.join(roots, "fp", "left").select("key", "fp", F.coalesce("root", "fp").alias("root"))
         crowd = left.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
         return left.join(crowd.filter("low < high").select("key", "n"), "key")
 
@@ -378,12 +394,12 @@ def similar(holders: DataFrame, texts: DataFrame, shingle: int, similarity: floa
         pairs = pairs.join(held.select(F.col("fp").alias("a"), F.col("set").alias("set_a")), "a")
         return written(pairs.mapInArrow(verified, "a long, b long"), "similar")
 
-    now = written(apart(holders, None), "meetings")
-    found = spark.createDataFrame([], "a long, b long")
+    found, roots = spark.createDataFrame([], "a long, b long"), spark.createDataFrame([], "fp long, root long")
+    now = written(apart(holders, roots), "meetings")
     if now.isEmpty():
-        return found
+        return found, roots
     wanted = now.select("fp").distinct()
-    held = written(texts.join(wanted, "fp", "left_semi").mapInArrow(sets, "fp long, set array<long>, bins binary"), "shingle-sets")
+    held = written(texts.join(wanted, "fp", "left_semi").mapInArrow(sets, "fp long, set array<long>, bins binary, members long"), "shingle-sets")
     for parts in HUBS:
         degree = now.groupBy("fp").agg(F.sum("n").alias("degree"))
         rare = now.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
@@ -391,12 +407,14 @@ def similar(holders: DataFrame, texts: DataFrame, shingle: int, similarity: floa
         best = F.min(F.struct("c", (-F.col("degree")).alias("d"), "fp", "root")).alias("best")
         hubs = ranked.groupBy("key", F.pmod(F.xxhash64("fp"), F.lit(parts)).alias("part")).agg(best)
         hubs = written(hubs.select("key", F.col("best.fp").alias("hub"), F.col("best.root").alias("hub_root")), "hubs")
-        found = found.union(checked(around_hubs(now, hubs, held, similarity)))
+        more = checked(around_hubs(now, hubs, held, similarity))
+        found, roots = found.union(more), joined(roots, more)
         left = now.join(hubs.select("key", F.col("hub").alias("fp")), ["key", "fp"], "left_anti")
-        now = written(apart(left.select("key", "fp"), components(found).withColumnRenamed("node", "fp")), "meetings")
+        now = written(apart(left.select("key", "fp"), roots), "meetings")
         if now.isEmpty():
-            return found.distinct()
-    return found.union(checked(alike(now, held, similarity))).distinct()
+            return found.distinct(), roots
+    more = checked(alike(now, held, similarity))
+    return found.union(more).distinct(), joined(roots, more)
 
 
 def rooted(classes: DataFrame, radius: int) -> DataFrame:
@@ -440,7 +458,7 @@ def drop_near_duplicates(
     met = written(meeting(bands.union(balls)), "met")
     said = texts.join(met.select(F.col("fp").alias("digest")).distinct(), "digest", "left_semi")
     said = said.groupBy(F.col("digest").alias("fp")).agg(F.any_value("text_").alias("text"))
-    roots = components(similar(met, said, shingle, similarity)).withColumnRenamed("node", "digest")
+    roots = similar(met, said, shingle, similarity)[1].withColumnRenamed("fp", "digest")
     order = [F.col("id_").isNull().alias("none_"), "id_", "hash_"]
     # One row per text first, so that a large group of copies is small before the roots are joined.
     best = rows.groupBy("digest").agg(F.min(F.struct(*order)).alias("best"))

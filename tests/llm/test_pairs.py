@@ -270,7 +270,7 @@ def test_similar_goes_on_after_the_hub(spark):
     texts = {1: "a b c d e f g", 2: "a b c d e f g h", 3: "p q r s t u v", 4: "p q r s t u v w", 5: ""}
     holders = spark.createDataFrame([(7, i) for i in texts], "key long, fp long")
     said = spark.createDataFrame(list(texts.items()), "fp long, text string")
-    got = simhash.similar(holders, said, 5, 0.7).collect()
+    got = simhash.similar(holders, said, 5, 0.7)[0].collect()
     assert sorted(tuple(sorted(r)) for r in got) == [(1, 2), (3, 4)]
 
 
@@ -286,7 +286,9 @@ def test_blocks_of_a_key_meet(spark, monkeypatch):
     texts[81] = None
     holders = spark.createDataFrame([(key, i) for i in texts for key in (7, 8)], "key long, fp long")
     said = spark.createDataFrame(list(texts.items()), "fp long, text string")
-    got = simhash.similar(holders, said, 5, 0.8).collect()
+    links, roots = simhash.similar(holders, said, 5, 0.8)
+    got = links.collect()
+    assert sorted(tuple(r) for r in roots.collect()) == [(k + 1, k) for k in range(1, 81, 2)]
     assert sorted(tuple(sorted(r)) for r in got) == [(k, k + 1) for k in range(1, 81, 2)]
 
 
@@ -430,3 +432,34 @@ def test_sorted_values_and_lookups():
         assert once.tolist() == sorted(counted) and twice.tolist() == sorted(v for v, n in counted.items() if n > 1)
         wanted = once[::3]
         assert simhash.among(values, wanted, 42).tolist() == [k for k, v in enumerate(values) if v in set(wanted)]
+
+
+def test_bins_rule_out_no_similar_pair():
+    """Sets about the threshold: bins let every pair pass that reaches it, and few small sets that share half."""
+    rng = np.random.default_rng(8)
+    far = passed = 0
+
+    def row(found):
+        return np.frombuffer(simhash.bins(found), np.uint8)[None], np.array([len(found)])
+
+    for _ in range(600):
+        common = int(rng.integers(1, 300))
+        extra = int(rng.integers(0, common + 1))
+        cut = int(rng.integers(0, extra + 1))
+        both, alone = (rng.integers(1 << 63, size=n, dtype=np.uint64) * np.uint64(2) for n in (common, extra))
+        a, b = (np.unique(np.concatenate((both, part))) for part in (alone[:cut], alone[cut:]))
+        (bins_a, size_a), (bins_b, size_b) = row(a), row(b)
+        good = simhash.likely(bins_a, bins_b, size_a, size_b, 0.8)[0, 0]
+        shared = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        assert good or shared < 0.8
+        far, passed = far + (shared < 0.6), passed + (shared < 0.6 and good)
+    assert passed < far / 20
+
+
+def test_components_joined_in_rounds(spark):
+    """Links that come in two rounds give the components of all of them."""
+    first, second = [(1, 2), (2, 5), (7, 8), (11, 12)], [(8, 5), (20, 21), (12, 11), (30, 20)]
+    roots = spark.createDataFrame([], "fp long, root long")
+    for part in (first, second, []):
+        roots = simhash.joined(roots, spark.createDataFrame(part, "a long, b long"))
+    assert sorted(map(tuple, roots.collect())) == [(2, 1), (5, 1), (7, 1), (8, 1), (12, 11), (21, 20), (30, 20)]

@@ -377,7 +377,7 @@ def test_blocks_cover_the_fingerprint_once(spark):
         assert at.first()[0] == 64
 
 
-def brute_components(n, linked):
+def least_linked(n, linked):
     root = list(range(n))
 
     def find(i):
@@ -400,7 +400,7 @@ def test_fingerprints_of_a_table_equal_brute_force(spark):
     fps = np.array([simhash.fingerprint(texts[i], 4) for i in ids], np.int64).view(np.uint64)
     assert [got[i].fingerprint for i in ids] == [f"{f:016x}" for f in fps]
     near = np.argwhere(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 4)
-    roots = brute_components(len(ids), near)
+    roots = least_linked(len(ids), near)
     assert [got[i].component_id for i in ids] == [ids[r] for r in roots]
 
 
@@ -419,7 +419,7 @@ def test_near_copies_of_a_table_equal_brute_force(spark):
             for y in range(x):
                 common[holders[y], holders[x]] += 1
     linked = [(a, b) for (a, b), n in common.items() if n >= 0.8 * (len(sets[a] | sets[b]) or 1)]
-    roots = brute_components(len(rows), linked)
+    roots = least_linked(len(rows), linked)
     assert kept == sorted(rows[r][0] for r in set(roots))
 
 

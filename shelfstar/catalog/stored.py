@@ -95,6 +95,12 @@ def _activity(src: Commerce, years: tuple[int, int] | None = None) -> tuple[Data
     return preference.activity(star.fact_borrowing, star.fact_sales, star.dim_date, star.dim_book, years), genders
 
 
+def _participants(src: Commerce) -> DataFrame:
+    star = stored(src)[0].star()
+    genders = star.dim_members.select("member_key", F.col("member_gender").alias("gender"))
+    return preference.participants_by_period(star.fact_borrowing, star.fact_sales, star.dim_date, genders)
+
+
 def _supplier_months(src: Commerce, years: tuple[int, int] | None = None) -> DataFrame:
     star = stored(src)[0].star(years)
     return supplier_geo.supplier_months(supplier_geo.po_values(star.fact_purchase), star.dim_date, star.dim_suppliers, years)
@@ -131,6 +137,7 @@ QUERIES = {
     "load_rejects": query(rejected),
     "warehouse_preference": query(lambda s: preference.preference_report(*_activity(s, REPORT_YEARS))),
     "warehouse_preference_view": query(lambda s: preference.preference_view(*_activity(s))),
+    "warehouse_participants": query(_participants),
     "warehouse_supplier_geo": query(lambda s: supplier_geo.supplier_geo_report(_supplier_months(s, REPORT_YEARS), "Q")),
     "warehouse_supplier_geo_view": query(lambda s: supplier_geo.supplier_geo_view(_supplier_months(s))),
 }
@@ -242,6 +249,15 @@ FROM bought""",
     "load_rejects": _REJECT_SQL,
     "warehouse_preference": _once(REPORT_SQL["preference_report"]),
     "warehouse_preference_view": _once(REPORT_SQL["preference_view"]),
+    "warehouse_participants": f"""{with_roles("loans", "sales", "members")},
+acts AS (SELECT borrow_date AS d, member_id FROM loans UNION ALL SELECT sales_date, member_id FROM sales),
+who AS (SELECT CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter_num, CAST(month(d) AS INTEGER) AS month_num,
+          member_id, gender_code AS g FROM acts JOIN members USING (member_id))
+SELECT CASE WHEN grouping(month_num) = 0 THEN 'MONTH' WHEN grouping(quarter_num) = 0 THEN 'QUARTER' ELSE 'YEAR' END AS grain,
+  year, quarter_num, month_num, count(DISTINCT member_id) AS participants_total,
+  count(DISTINCT CASE WHEN g = 'M' THEN member_id END) AS male_cnt,
+  count(DISTINCT CASE WHEN g = 'F' THEN member_id END) AS female_cnt
+FROM who GROUP BY GROUPING SETS ((year, quarter_num, month_num), (year, quarter_num), (year))""",
     # The fact repeats an order's total on its lines.
     "warehouse_supplier_geo": REPORT_SQL["supplier_geo_report_q"].replace("order_value AS v", _TOTAL),
     "warehouse_supplier_geo_view": REPORT_SQL["supplier_geo_view"].replace("order_value AS v", _TOTAL),

@@ -11,24 +11,39 @@ from pyspark.sql import Column, DataFrame, functions as F
 BROADCAST_ROWS = 1_000_000
 
 
-# Tables counted before, so that a lookup that several queries of a session use is counted once.
-_KNOWN: OrderedDict[tuple[str, int], tuple[DataFrame, int]] = OrderedDict()
+# Tables counted before, so that a lookup that several queries of a session use is counted once: by application, plan and key column.
+_KNOWN: OrderedDict[tuple[str, int, str | None], tuple[DataFrame, int]] = OrderedDict()
 REMEMBERED = 256
 
 
-def row_count(df: DataFrame) -> int:
-    """Rows of `df`; a plan over the same files is not counted again in a session. It decides on a strategy, not on results."""
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash())
-    known = _KNOWN.get(key)
-    if known and known[0].sameSemantics(df):
-        return known[1]
-    n = df.count()
-    _KNOWN[key] = (df, n)
+def _known(df: DataFrame, by: str | None) -> int | None:
+    """What was counted for a plan over the same files in this session. It decides on a strategy, not on results."""
+    known = _KNOWN.get((df.sparkSession.sparkContext.applicationId, df.semanticHash(), by))
+    return known[1] if known and known[0].sameSemantics(df) else None
+
+
+def _remember(df: DataFrame, by: str | None, n: int) -> int:
+    _KNOWN[(df.sparkSession.sparkContext.applicationId, df.semanticHash(), by)] = (df, n)
     if len(_KNOWN) > REMEMBERED:
         _KNOWN.popitem(last=False)
     return n
 
 
+def row_count(df: DataFrame) -> int:
+    n = _known(df, None)
+    return _remember(df, None, df.count()) if n is None else n
+
+
+def most_per_key(df: DataFrame, key: str) -> int:
+    """Rows of the key that has most; 0 for an empty table. Keys are counted map side first, and the same job counts the rows."""
+    n = _known(df, key)
+    if n is None:
+        total, n = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n"), F.max("n")).first()
+        _remember(df, None, total or 0)
+        _remember(df, key, n or 0)
+    return n or 0
+
+
 def within_rows(df: DataFrame, bound: int = BROADCAST_ROWS) -> bool:
     return row_count(df) <= bound
 

@@ -44,7 +44,7 @@ def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows:
         lambda i: F.element_at("_sample", F.greatest(F.floor(i * each), F.lit(1)).cast("int")),
     )
     bounds = settle(per_key.where("_cuts > 1").withColumn("_bounds", picked).drop("_sample", "_cuts"))
-    cut = _on_keys(df, F.broadcast(bounds), keys, "left").withColumn(SLICE, F.coalesce(_rank(F.col("_bounds"), spot), F.lit(0)))
+    cut = _on_keys(df, F.broadcast(bounds), keys, "left").withColumn(SLICE, F.coalesce(rank_among(F.col("_bounds"), spot), F.lit(0)))
     return cut.select(*df.columns, SLICE), SLICE
 
 
@@ -56,7 +56,7 @@ def _on_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str, buc
     return df.join(other, on, how)
 
 
-def _rank(bounds: Column, spot: Column) -> Column:
+def rank_among(bounds: Column, spot: Column) -> Column:
     """How many of the ascending bounds are less than `spot`, by binary search; NULL without bounds."""
     low, high = F.lit(0).alias("low"), F.size(bounds).alias("high")
 

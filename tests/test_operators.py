@@ -1,13 +1,15 @@
 from __future__ import annotations
 
+import bisect
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import Window as W, functions as F
 
 from shelfstar.operators import calendar
 from shelfstar.operators.active import active_at
-from shelfstar.operators.asof import asof_lookup
+from shelfstar.operators.asof import CHUNK, asof_lookup, deal, version_spans
 from shelfstar.operators.lookup import attach, sum_by_attribute
 from shelfstar.operators.profile import range_profile, value_profile
 from shelfstar.operators.split import neighbour, running
@@ -120,6 +122,40 @@ def test_asof(spark):
     assert rows(loose, "n", "key") == [(1, 1), (2, 1), (3, 3), (4, 4), (5, 4)]
 
 
+@pytest.mark.parametrize("strict", [True, False])
+def test_asof_with_very_many_versions(spark, strict):
+    """One id with 10,000 versions: a row meets the versions of its stretch of time only."""
+    rng, first, n = random.Random(5), D(1990, 1, 1), 10_000
+    days = sorted(rng.sample(range(3 * n), n))
+    versions = [("hot", k, first + dt.timedelta(days=d), D(9999, 12, 31)) for k, d in enumerate(days)]
+    versions += [("cold", n + k, D(2020, 1 + k, 1), D(2020, 1 + k, 20)) for k in range(3)] + [("cold", -1, None, D(2021, 1, 1))]
+    fact = [(i, "hot" if i % 4 else "cold", first + dt.timedelta(days=rng.randrange(-50, 3 * n + 50))) for i in range(2000)]
+    fact += [(2000, "hot", None), (2001, None, first), (2002, "unknown", first), (2003, "cold", D(2020, 2, 20)), (2004, "cold", D(2020, 2, 21))]
+    want = []
+    for i, who, day in fact:
+        known = [v for v in versions if v[0] == who and v[2]]
+        at = bisect.bisect_right([v[2] for v in known], day) - 1 if day else None
+        if not known or at is None:
+            continue
+        if strict:
+            want += [(i, known[at][1])] if at >= 0 and day <= known[at][3] else []
+        elif at >= 0 or who == "hot":
+            want.append((i, known[max(at, 0)][1]))
+        else:
+            # The version without a date comes first and reaches back to the start.
+            want.append((i, -1))
+    table = spark.createDataFrame(versions, "id string, key int, effective_date date, expiration_date date")
+    facts = spark.createDataFrame(fact, "n int, id string, day date")
+    got = asof_lookup(facts, table, "id", "key", "day", strict=strict)
+    assert got.columns == ["n", "id", "day", "key"]
+    assert rows(got, "n", "key") == sorted(want, key=lambda t: tuple((True, str(v)) for v in t))
+    spans = version_spans(table, "id", "key", strict).withColumnRenamed("id", "_id")
+    near, dealt = deal(facts, spans, "id", "day", table)
+    assert near.join(dealt, (F.col("id") == F.col("_id")) & (F.col("_at_chunk") == F.col("_chunk"))).count() <= len(fact) * CHUNK
+    kept = asof_lookup(facts, table, "id", "key", "day", strict=strict, how="left")
+    assert kept.count() == len(fact)
+
+
 def test_table_changes(spark):
     target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     batch = spark.createDataFrame([(2, "x"), (3, "c")], "k int, v string")

@@ -5,15 +5,19 @@ minimizers at the same place, so windows need comparing only where minimizers me
 windows with one minimizer is a fragment of at most 76 bytes.
 
 1. Texts are dealt to units. A unit sends the hashes of its minimizers, packed, to buckets of the hash space; a bucket
-   answers with those that several units sent. Fragments of minimizers that no second document has go no further.
-2. The fragments that are left meet in buckets. There the collection's order is built column by column from the
+   answers with those that several units sent, and with those that very many sent. Fragments of minimizers that no second document
+   has go no further.
+2. A unit folds its equal fragments: those of its smallest document stand for all, the others are removed whole. So a passage that any
+   number of documents share is one row per unit from here on. A minimizer that very many units have is met under its context too:
+   every window holds the 13 bytes before it or the 13 after it, and goes with those.
+3. The fragments that are left meet in buckets. There the collection's order is built column by column from the
    right: one symbol of every fragment is inserted per round by a stable sort on the symbol, which takes the order of the suffixes
    and the lengths of their common prefixes from one column to the next. Neighbours with a common prefix of 50 or
    more hold the same window, and the smallest document among them owns it.
-3. Each unit cuts the bytes that its texts do not own.
+4. Each unit cuts the bytes that its texts do not own.
 
 Buckets are bounded and the shuffle files between the steps are read and written in sequence, so a round keeps its column in
-memory. Minimizers with more fragments than a bucket should hold are compared window by window with a grouped minimum instead.
+memory.
 """
 
 from __future__ import annotations
@@ -32,8 +36,8 @@ from shelfstar.llm.simhash import ascending, pack, unpack
 LENGTH, PIECE = 50, 24
 #: Bytes of text in a unit, hashes in a bucket of the first pass, fragments in a bucket of the second, on average.
 UNIT, BUCKET, FRAGMENTS = 4 << 20, 1 << 20, 40_000
-#: A minimizer with more fragments than this is compared window by window.
-HOT = 20_000
+#: A minimizer that so many units have is met together with the bytes beside it.
+WIDE = 64
 SPARE_BITS = 6
 #: Windows worked on at a time within a unit.
 SLICE = 1 << 19
@@ -89,6 +93,26 @@ def _sliding_least(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarr
     return value, place
 
 
+def halves(
+    data: np.ndarray, first: np.ndarray, last: np.ndarray, place: np.ndarray, value: np.ndarray, length: int = LENGTH, piece: int = PIECE
+) -> tuple[np.ndarray, ...]:
+    """Fragments in two: the windows that hold `half` bytes before the minimizer, under its hash and these bytes, and the others, which hold
+    as many after it. (row, first, last, hash); a half without windows is left out. Equal windows come to equal hashes."""
+    half = (length - piece) // 2
+    out = []
+    for side, begin, end, at in (
+        (1, first, np.minimum(last, place - half), place - half),
+        (2, np.maximum(first, place - half + 1), last, place + piece),
+    ):
+        row = np.flatnonzero(begin <= end)
+        hashes = value[row] + np.uint64(side)
+        for k in range(half):
+            hashes = (hashes ^ data[at[row] + k]) * np.uint64(0x9E3779B97F4A7C15)
+            hashes ^= hashes >> np.uint64(31)
+        out.append((row, begin[row], end[row], hashes))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
 def owned_elsewhere(fragments: list[bytes], left: np.ndarray, docs: np.ndarray, length: int = LENGTH, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
     """Per fragment the smallest and largest number of bytes left of the minimizer at which a window begins that a smaller document holds too; -1 for
     none. `left`: bytes of the fragment before its minimizer."""
@@ -141,7 +165,7 @@ def _read(rows: pa.Table) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return texts, np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts], dtype=np.int64)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", wide: int = WIDE) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (binary: the bytes left), spans (array of begin, end): one row per
     distinct (id, text).
 
@@ -171,7 +195,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         light.join(owners.filter("owner < latest"), "digest").filter("doc > owner").select("doc", "hash", "size").distinct(), "suffix-copies"
     )
     dealt = rows.select(unit, "doc", "hash", "raw").mapInArrow(_packed, "unit long, doc long, hash long, raw binary")
-    aside = copies.select(unit, F.col("doc").alias("copy"), F.col("hash").alias("copy_hash"), F.lit(None).cast("binary").alias("shared"))
+    none = F.lit(None).cast("binary")
+    aside = copies.select(unit, F.col("doc").alias("copy"), F.col("hash").alias("copy_hash"), none.alias("shared"), none.alias("wide"))
 
     def own(rows: pa.Table, told: pa.Table) -> pa.Table:
         """The texts of the unit that no smaller document has whole, each once."""
@@ -196,11 +221,18 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     def meet(rows: pa.Table) -> pa.Table:
         sent = [unpack(x.as_py(), kind) for x in rows.column("keys")]
-        shared = ascending(np.concatenate(sent))[1]
+        met = np.sort(np.concatenate(sent))
+        shared = ascending(met)[1]
+        far = max(0, len(met) - wide + 1)
+        common = ascending(met[:far][met[:far] == met[wide - 1 :]])[0]
         high = np.uint64(rows.column("bucket")[0].as_py()) << low
-        hits = [np.intersect1d(keys, shared, assume_unique=True) | high for keys in sent]
-        found = [(u, h.tobytes()) for u, h in zip(rows.column("unit").to_pylist(), hits, strict=True) if len(h)]
-        return pa.table({"unit": pa.array([u for u, _ in found], pa.int64()), "shared": pa.array([h for _, h in found], pa.binary())})
+        found = []
+        for unit, keys in zip(rows.column("unit").to_pylist(), sent, strict=True):
+            hits = np.intersect1d(keys, shared, assume_unique=True)
+            if len(hits):
+                found.append((unit, (hits | high).tobytes(), (np.intersect1d(hits, common, assume_unique=True) | high).tobytes()))
+        columns = list(zip(*found, strict=True)) or [(), (), ()]
+        return pa.table({c: pa.array(v, t) for (c, t), v in zip((("unit", pa.int64()), ("shared", pa.binary()), ("wide", pa.binary())), columns, strict=True)})
 
     def answer(rows: pa.Table, told: pa.Table) -> pa.Table:
         rows = own(rows, told)
@@ -220,32 +252,69 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         if sent:
             shared = np.sort(np.concatenate(sent))
             wanted |= shared[np.minimum(np.searchsorted(shared, keys), len(shared) - 1)] == keys
-        first, last, place, value, text = (x[wanted] for x in (first, last, place, value, text))
+        sent = [np.frombuffer(x.as_py(), np.uint64) for x in told.column("wide") if x.is_valid]
+        split = wanted & np.isin(keys, np.concatenate(sent)) if sent else np.zeros(len(keys), bool)
+        whole = wanted & ~split
+        row, begin, end, hashes = halves(data, *(x[split] for x in (first, last, place, value)), length)
+        text = np.concatenate((text[whole], text[split][row]))
+        place = np.concatenate((place[whole], place[split][row]))
+        first, last, value = (np.concatenate((x[whole], y)) for x, y in ((first, begin), (last, end), (value, hashes)))
         base = (ends - np.diff(ends, prepend=0))[text]
-        raw = data.tobytes()
+        docs, hashes = rows.column("doc").to_numpy()[text], rows.column("hash").to_numpy()[text]
+        left, raw = place - first, data.tobytes()
+        parts = [raw[a:b] for a, b in zip(first.tolist(), (last + length).tolist(), strict=True)]
+
+        # Equal fragments are folded: those of the smallest document stand for all.
+        classes: dict[tuple, int] = {}
+        each = np.array([classes.setdefault(x, len(classes)) for x in zip(value.tolist(), left.tolist(), parts, strict=True)], np.int64)
+        least = np.full(len(classes), LAST, np.int64)
+        np.minimum.at(least, each, docs)
+        stands = docs == least[each]
+        member = np.flatnonzero(stands)
+        member = member[np.argsort(each[member], kind="stable")]
+        heads = np.flatnonzero(np.diff(each[member], prepend=-1))
+        sizes = np.diff(np.append(heads, len(member)))
+        one = member[heads]
+        pairs = np.stack((hashes[member], (place - base)[member]), axis=1)
+        more = [pairs[h + 1 : h + n].tobytes() if n > 1 else None for h, n in zip(heads.tolist(), sizes.tolist(), strict=True)]
+        # The others are removed whole; overlapping ones are one span. Texts do not overlap.
+        gone = np.flatnonzero(~stands)
+        gone = gone[np.argsort(first[gone], kind="stable")]
+        reach = np.maximum.accumulate(last[gone] + length)
+        new = np.flatnonzero(np.concatenate(([True], first[gone][1:] >= reach[:-1]))[: len(gone)])
+        span = gone[new]
+        until = reach[np.append(new[1:], len(gone)) - 1] if len(gone) else reach
+        open_, decided = len(one), len(span)
+        rest = pa.nulls(decided, pa.binary())
         return pa.table(
             {
-                "key": pa.array(value.view(np.int64)),
-                "doc": rows.column("doc").take(pa.array(text)),
-                "hash": rows.column("hash").take(pa.array(text)),
-                "place": pa.array(place - base),
-                "left": pa.array((place - first).astype(np.int32)),
-                "bytes": pa.array([raw[a:b] for a, b in zip(first.tolist(), (last + length).tolist(), strict=True)], pa.binary()),
+                "key": pa.array(np.concatenate((value[one].view(np.int64), np.zeros(decided, np.int64)))),
+                "doc": pa.array(np.concatenate((docs[one], docs[span]))),
+                "hash": pa.array(np.concatenate((hashes[one], hashes[span]))),
+                "place": pa.array(np.concatenate(((place - base)[one], (first - base)[span]))),
+                "end": pa.array(np.concatenate((np.zeros(open_, np.int64), until - base[span]))),
+                "left": pa.array(np.concatenate((left[one], np.zeros(decided, np.int64))).astype(np.int32)),
+                "bytes": pa.chunked_array([pa.array([parts[i] for i in one.tolist()], pa.binary()), rest]),
+                "members": pa.chunked_array([pa.array(more, pa.binary()), rest]),
             }
         )
 
     def compare(rows: pa.Table) -> pa.Table:
         left = rows.column("left").to_numpy().astype(np.int64)
-        docs, place = rows.column("doc").to_numpy(), rows.column("place").to_numpy()
+        docs = rows.column("doc").to_numpy()
         least, most = owned_elsewhere(rows.column("bytes").to_pylist(), left, docs, length)
         hit = np.flatnonzero(most >= 0)
-        at = pa.array(hit)
+        members = rows.column("members").take(pa.array(hit)).to_pylist()
+        pairs = np.stack((rows.column("hash").to_numpy()[hit], rows.column("place").to_numpy()[hit].astype(np.int64)), axis=1)
+        pairs = [pairs, *[np.frombuffer(x, np.int64).reshape(-1, 2) for x in members if x]]
+        row = np.concatenate((hit, np.repeat(hit, [len(x) // 16 if x else 0 for x in members]).astype(np.int64)))
+        hashes, place = np.concatenate(pairs).T
         return pa.table(
             {
-                "doc": rows.column("doc").take(at),
-                "hash": rows.column("hash").take(at),
-                "begin": pa.array(place[hit] - most[hit]),
-                "end": pa.array(place[hit] - least[hit] + length),
+                "doc": pa.array(docs[row]),
+                "hash": pa.array(hashes),
+                "begin": pa.array(place - most[row]),
+                "end": pa.array(place - least[row] + length),
             }
         )
 
@@ -282,25 +351,23 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     by_unit = dealt.groupBy("unit")
     sent = by_unit.cogroup(aside.groupBy("unit")).applyInArrow(send, "bucket long, unit long, keys binary")
-    met = sent.groupBy("bucket").applyInArrow(meet, "unit long, shared binary")
-    told = aside.union(met.select("unit", F.lit(None).cast("long"), F.lit(None).cast("long"), "shared"))
+    met = sent.groupBy("bucket").applyInArrow(meet, "unit long, shared binary, wide binary")
+    told = aside.union(met.select("unit", F.lit(None).cast("long"), F.lit(None).cast("long"), "shared", "wide"))
     fragments = written(
         dealt.groupBy("unit").cogroup(told.groupBy("unit")).applyInArrow(
-            answer, "key long, doc long, hash long, place long, left int, bytes binary"
+            answer, "key long, doc long, hash long, place long, end long, left int, bytes binary, members binary"
         ),
         "suffix-fragments",
     )
-    buckets = max(1, -(-fragments.count() // FRAGMENTS))
-    crowded = fragments.groupBy("key").agg(F.count(F.lit(1)).alias("n_")).filter(F.col("n_") > hot).select("key")
-    crowded = written(crowded, "suffix-crowded")
+    met_again = F.col("bytes").isNotNull()
+    buckets = max(1, -(-fragments.where(met_again).count() // FRAGMENTS))
     spans = (
-        fragments.join(crowded, "key", "left_anti")
-        .select(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"), "doc", "hash", F.col("place").cast("int"), "left", "bytes")
+        fragments.where(met_again)
+        .select(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"), "doc", "hash", F.col("place").cast("int"), "left", "bytes", "members")
         .groupBy("bucket")
         .applyInArrow(compare, "doc long, hash long, begin long, end long")
     )
-    if not crowded.isEmpty():
-        spans = spans.union(_by_window(fragments.join(crowded, "key", "left_semi"), length))
+    spans = spans.union(fragments.where(~met_again).select("doc", "hash", F.col("place").alias("begin"), "end"))
     spans = spans.union(copies.select("doc", "hash", F.lit(0).cast("long"), "size"))
     placed = spans.select(unit, "doc", "hash", "begin", "end")
     return dealt.groupBy("unit").cogroup(placed.groupBy("unit")).applyInArrow(
@@ -308,17 +375,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     )
 
 
-def _by_window(fragments: DataFrame, length: int) -> DataFrame:
-    """What `owned_elsewhere` finds, for minimizers of very many fragments: each window's smallest document by a grouped
-    minimum, which is taken before the shuffle."""
-    windows = fragments.withColumn("i", F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - length)))
-    windows = windows.withColumn("window", F.unhex(F.md5(F.substring("bytes", F.col("i") + 1, F.lit(length))))).drop("bytes")
-    owners = windows.groupBy("key", "window").agg(F.min("doc").alias("owner"))
-    begin = F.col("place") - F.col("left") + F.col("i")
-    found = windows.join(owners, ["key", "window"]).filter("owner < doc")
-    return found.groupBy("doc", "hash", "place").agg(F.min(begin).alias("begin"), (F.max(begin) + length).alias("end")).drop("place")
-
-
 def op8_suffix_array_dedup(spark, folder: str) -> DataFrame:
     cut = remove_repeats(table(spark, folder, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -146,11 +146,11 @@ def brute_removed(rows):
     return out
 
 
-@pytest.mark.parametrize("hot", [suffixes.HOT, 2])
-def test_repeated_strings(spark, monkeypatch, hot):
+@pytest.mark.parametrize("wide", [suffixes.WIDE, 2])
+def test_repeated_strings(spark, monkeypatch, wide):
     monkeypatch.setattr(suffixes, "UNIT", 1 << 16)
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    cut = suffixes.remove_repeats(docs, hot=hot)
+    cut = suffixes.remove_repeats(docs, wide=wide)
     got = {r[0]: tuple(r[1:]) for r in cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()}
     assert got == brute_removed([(r.doc_id, (r.text or "").encode()) for r in docs.collect()])
 
@@ -165,6 +165,40 @@ def test_repeated_strings_of_odd_rows(docs_of):
     assert suffixes.remove_repeats(docs_of([])).count() == 0
 
 
+@pytest.mark.parametrize("wide", [suffixes.WIDE, 2])
+@pytest.mark.parametrize("unit", [700, 1 << 20])
+def test_repeated_strings_that_very_many_documents_share(docs_of, monkeypatch, wide, unit):
+    """A passage and a line in most documents, within documents too, among unlike bytes; documents without an id and with one id."""
+    monkeypatch.setattr(suffixes, "UNIT", unit)
+    rng = random.Random(8)
+
+    def noise(n):
+        return "".join(rng.choice("abcdef é") for _ in range(n))
+
+    passage, line = noise(120), noise(61)
+    rows = []
+    for i in range(90):
+        parts = [noise(rng.randrange(40)) for _ in range(4)]
+        text = rng.choice([passage, passage[:70], line]).join(parts) if i % 3 else noise(30) + line + noise(5) + line
+        rows.append((rng.choice([i, i, i, 7, None]), text))
+    rows += [(200, passage), (201, passage), (None, line * 3)]
+    last = 1 << 62
+    got = sorted((last if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffixes.remove_repeats(docs_of(rows), wide=wide).collect())
+    want, seen = [], {}
+    every = sorted({(last if i is None else i, t.encode()) for i, t in rows})
+    for i, raw in every:
+        for j in range(len(raw) - 49):
+            seen.setdefault(raw[j : j + 50], i)
+    for i, raw in every:
+        gone = bytearray(len(raw))
+        for j in range(len(raw) - 49):
+            if seen[raw[j : j + 50]] < i:
+                gone[j : j + 50] = b"\1" * 50
+        spans = sum(1 for j in range(len(gone)) if gone[j] and (j == 0 or not gone[j - 1]))
+        want.append((i, len(raw), sum(gone), spans, bytes(b for b, x in zip(raw, gone, strict=True) if not x)))
+    assert got == sorted(want)
+
+
 def words_of(text):
     import re
 

@@ -8,6 +8,7 @@ import time
 import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -215,6 +216,20 @@ def test_cards_side_by_side_are_found(own_field):
     assert found in ([], [(4, "card", 23), (24, "card", 43)])
 
 
+def test_long_runs_and_words_are_read_whole():
+    """Cards in a run of more digits than four have, and words of more than a hundred characters beside an `@`."""
+    numbers = " ".join(["4111 1111 1111 1111"] * 80)
+    assert pii.base_spans(numbers) == [] and pii.islands(numbers) == [(0, len(numbers), True)]
+    weights, follow = np.zeros((pii.N_FEATURES, pii.OTHER + 1)), np.zeros((pii.OTHER + 1, pii.OTHER + 1))
+    weights[0, : pii.OTHER], weights[13, pii.KINDS.index("card")] = -4.0, 9.0
+    cards = pii.Field(weights, follow)
+    assert pii.find_spans(numbers, cards)[1] == [(20 * k, "card", 20 * k + 19) for k in range(80)]
+    assert pii.find_spans(f"{numbers} 77", cards)[1] == pii.find_spans(f"77 {numbers}", cards)[1] == []
+    for text in ("x" * 150 + "@" + "y" * 150 + ".org", "x" * 150 + " @ " + "y" * 150 + ".org"):
+        assert pii.islands(text) == [(0, len(text), False)]
+    assert pii.islands("a." * 80 + "@b.org") == [(60, 166, False)]
+
+
 def test_very_long_texts_are_read_in_time(own_field):
     rng = random.Random(8)
     numbers = " ".join(str(rng.randint(0, 10**6)) for _ in range(500_000))

@@ -355,6 +355,21 @@ def test_unlike_texts_of_one_fingerprint_stay(spark, docs_of):
     assert sorted(r.doc_id for r in kept) == list(range(1, 31))
 
 
+def test_fingerprints_link_what_no_band_does(spark, docs_of, monkeypatch):
+    """Two near copies without a band in common: the ball around their fingerprints alone decides that one of them goes."""
+    rng = random.Random(5)
+    fresh = lambda n: [f"w{rng.getrandbits(40):x}" for _ in range(n)]
+    for _ in range(2000):
+        own = fresh(60)
+        rows = [(k, " ".join(["filler"] * 400 + words)) for k, words in enumerate((own, own[:54] + fresh(6)), 1)]
+        (fp, bands), (other, others) = (simhash.sketch(t, 5, True) for _, t in rows)
+        if not set(bands.tolist()) & set(others.tolist()) and ((fp ^ other) % (1 << 64)).bit_count() <= 4:
+            break
+    assert [r.doc_id for r in simhash.drop_near_duplicates(docs_of(rows)).collect()] == [1]
+    monkeypatch.setattr(simhash, "rooted", lambda classes, radius: classes.limit(0).selectExpr("fp", "fp AS root"))
+    assert simhash.drop_near_duplicates(docs_of(rows)).count() == 2
+
+
 def test_copies_that_meet_in_a_ball_only(spark, docs_of, monkeypatch):
     """No bands: unlike texts and copies of some share a fingerprint, and each copy is found whichever text stands first in the ball."""
     rng = random.Random(14)

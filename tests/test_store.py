@@ -9,8 +9,9 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from shelfstar.operators.upsert import absent, absent_within, one_per_key
+from shelfstar.operators.upsert import absent, absent_per_key, absent_within, one_per_key
 from shelfstar.plans.facts import FACT_KEYS
+from shelfstar.sources.commerce import ByOrder, Commerce
 from shelfstar.sources.store import MONTH, Store
 from tests.conftest import rows
 from tests.test_load import AS_OF, sources, star  # noqa: F401
@@ -111,3 +112,27 @@ def test_one_per_key_takes_the_first_row(spark):
     assert rows(one_per_key(df, ["k"], ["b"])) == rows(spark.createDataFrame([(1, 2, "x"), (None, 5, "q"), (2, None, None)], schema))
     assert one_per_key(df.select("k"), ["k"]).count() == 3
     assert "Window" not in plan_of(one_per_key(df, ["k"]))
+
+
+def test_a_batch_is_compared_in_one_shuffle(spark):
+    """Repeated and NULL keys, with and without other columns; the batch meets the table where it is reduced to its keys."""
+    schema = "k int, a int, b string"
+    batch = spark.createDataFrame([(1, 2, "x"), (1, 1, "y"), (None, 5, "q"), (2, None, None), (3, 3, "z"), (2, None, None)], schema)
+    for known in ([(3, 0, "known")], [(None, 1, "n"), (1, 9, "o"), (1, 9, "p")], []):
+        target = spark.createDataFrame(known, schema)
+        assert rows(absent_per_key(batch, target, ["k"])) == rows(absent(one_per_key(batch, ["k"]), target, ["k"]))
+        assert rows(absent_per_key(batch, target, ["k", "a", "b"])) == rows(absent(batch.distinct(), target, ["k", "a", "b"]))
+    assert plan_of(absent_per_key(batch, target, ["k"])).count("Exchange hashpartitioning") == 1
+
+
+def test_lines_and_orders_by_order_join_in_place(spark):
+    src = Commerce(spark, "/root/testdata/sf0.001")
+    laid_out = ByOrder(src)
+    for name in ("orders", "lineitem"):
+        assert rows(laid_out.table(name)) == rows(src.table(name))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Exchange" in plan_of(src.loans()) and "Exchange" in plan_of(src.purchase_orders())
+        assert "Exchange" not in plan_of(laid_out.loans()) and "Exchange" not in plan_of(laid_out.purchase_orders())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -12,9 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfstar.operators.lookup import attach
 from shelfstar.plans.rules import check_foreign_key
-from shelfstar.session import settle
 from shelfstar.sources.schemas import ALLOWED, BEFORE, FOREIGN_KEYS, OPTIONAL, PRIMARY_KEYS, RANGES, UNIQUE
 
 
@@ -66,27 +64,17 @@ def unique_keys(name: str, columns: Sequence[str]) -> dict[str, tuple[str, ...]]
     return {rule: k for rule, k in keys.items() if set(k) <= set(columns)}
 
 
-def _hash(rule: Column, value: Column) -> Column:
-    return F.xxhash64(rule, value)
-
-
 def unique_violations(name: str, df: DataFrame) -> DataFrame:
     """rule, key, message of every key value that occurs more than once, all unique keys of the table in one pass. A key with a
-    NULL is equal to none; rows are counted before the shuffle, so a value of very many rows is one row per task there.
-
-    Hashes of the values are counted first, so that only values whose hash occurs more than once are shuffled as text."""
-    found, hashes = [], []
+    NULL is equal to none; rows are counted before the shuffle, so a value of very many rows is one row per task there."""
+    found = []
     for rule, columns in unique_keys(name, df.columns).items():
         whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
         # Values are told apart by more than their text, which may hold the mark between them.
         parts = F.to_json(F.array(*[F.col(c).cast("string") for c in columns])) if len(columns) > 1 else F.col(columns[0]).cast("string")
         said = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
         found.append(F.when(whole, F.struct(F.lit(rule).alias("rule"), parts.alias("value"), said.alias("key"))))
-        hashes.append(F.when(whole, _hash(F.lit(rule), parts)))
-    hashed = df.select(F.explode(F.array_compact(F.array(*hashes))).alias("hash"))
-    shared = settle(hashed.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("hash"))
     every = df.select(F.explode(F.array_compact(F.array(*found))).alias("u")).select("u.*")
-    every = attach(every.withColumn("hash", _hash(F.col("rule"), F.col("value"))), shared, "hash", "left_semi")
     many = every.groupBy("rule", "value", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     return many.select("rule", "key", F.concat(F.col("n").cast("string"), F.lit(" rows")).alias("message"))
 

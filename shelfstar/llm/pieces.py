@@ -17,8 +17,8 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
-from itertools import product
+from collections.abc import Collection, Iterator
+from itertools import chain, product
 from math import log
 
 import numpy as np
@@ -30,8 +30,8 @@ from shelfstar.llm.common import table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BEST = 3
-#: Words a task keeps, the table starts anew beyond it; characters of the longest word kept; words learnt together.
-KEPT, LONG, TOGETHER = 700_000, 32, 150_000
+#: Words a task keeps, the table starts anew beyond it; characters of the longest word kept; words learnt together, and side by side.
+KEPT, LONG, TOGETHER, ASIDE = 700_000, 32, 150_000, 20_000
 FACTOR, MASK, PREFIX = 0x9E3779B97F4A7C15, (1 << 64) - 1, 20
 #: Offset of the rank in Zipf's law, and log-probability of a byte piece.
 ZIPF, BYTE = 2.7, -18.0
@@ -116,7 +116,7 @@ def n_best(word: str, vocabulary: Vocabulary, n: int) -> list[tuple[float, tuple
 
 
 class Encoder:
-    """Encodes texts and remembers words. New words are segmented many at a time, those of one length side by side: the forward pass
+    """Encodes texts and remembers words. New words are segmented many at a time, side by side from the longest on: the forward pass
     takes the best and the second best score to each place. Only words whose second choice is among a text's cheapest are
     searched for their n best."""
 
@@ -130,9 +130,10 @@ class Encoder:
         self.hashes = hashes[order]
         self.ids = np.array([vocabulary.pieces[t][0] for t in texts], np.int32)[order]
         self.scores = np.array([vocabulary.pieces[t][1] for t in texts])[order]
-        # Pieces by the first bits of their hashes: where those with these bits begin, and the most that share them.
-        starts = np.searchsorted(self.hashes, np.arange((1 << PREFIX) + 1, dtype=np.uint64) << np.uint64(64 - PREFIX))
-        self.starts, self.shared = np.minimum(starts[:-1], len(texts) - 1).astype(np.int32), int(np.diff(starts).max(initial=1))
+        # Pieces by the first bits of their hashes: where those with these bits begin, whether there are any, and the most that share them.
+        begins = np.arange(1 << PREFIX, dtype=np.uint64) << np.uint64(64 - PREFIX)
+        starts = np.append(np.searchsorted(self.hashes, begins), len(texts))
+        self.starts, self.any, self.shared = starts[:-1].astype(np.int32), np.diff(starts) > 0, int(np.diff(starts).max(initial=1))
 
     @staticmethod
     def _hash(text: str) -> int:
@@ -151,46 +152,51 @@ class Encoder:
                 self.searched[word] = got
         return got
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: Collection[str]) -> None:
         """Puts ids, score and loss of the second best of new words into `known`."""
         if len(self.known) + len(words) > self.kept:
             self.known.clear()
-        by_size: dict[int, list[str]] = {}
+        aside, alone = [], []
         for word in words:
             if word not in self.known:
-                by_size.setdefault(len(word) if len(word) <= LONG and "\0" not in word else 0, []).append(word)
-        for size, same in by_size.items():
-            alone = same if not size else self._together(same, size)
-            for word in alone:
-                best = self.best(word)
-                loss = best[0][0] - best[1][0] if len(best) > 1 else float("inf")
-                self.known[word] = (np.array(best[0][1], np.int32).tobytes(), best[0][0], loss)
-
-    def _together(self, words: list[str], size: int) -> list[str]:
-        """Words of one length; returns those with characters that no piece holds."""
-        codes = np.array(words, f"U{size}").view(np.uint32).reshape(-1, size).astype(np.uint64) + np.uint64(1)
-        rows = len(words)
+                (aside if len(word) <= LONG and "\0" not in word else alone).append(word)
+        aside.sort(key=len, reverse=True)
+        for k in range(0, len(aside), ASIDE):
+            alone += self._together(aside[k : k + ASIDE])
+        for word in alone:
+            best = self.best(word)
+            loss = best[0][0] - best[1][0] if len(best) > 1 else float("inf")
+            self.known[word] = (np.array(best[0][1], np.int32).tobytes(), best[0][0], loss)
+
+    def _together(self, words: list[str]) -> list[str]:
+        """Words by falling length; returns those with characters that no piece holds."""
+        size, rows = len(words[0]), len(words)
+        sizes, every = np.array(list(map(len, words))), np.arange(rows)
+        reach = np.searchsorted(-sizes, -np.arange(size + 1), "right").tolist()  # the first so many words have this length or more
+        codes = np.array(words, f"U{size}").view(np.uint32).reshape(-1, size).T.astype(np.uint64, order="C") + np.uint64(1)
         first, second = np.full((size + 1, rows), -np.inf), np.full((size + 1, rows), -np.inf)
-        came, by = np.zeros((size + 1, rows), np.int64), np.full((size + 1, rows), -1, np.int32)
+        came, by = np.zeros((size + 1, rows), np.int8), np.full((size + 1, rows), -1, np.int32)
         first[0] = 0.0
         spelled = np.zeros(rows, bool)  # words with a character that bytes spell are left to the search
         for begin in range(size):
             h = np.zeros(rows, np.uint64)
             for end in range(begin + 1, min(size, begin + self.vocabulary.longest) + 1):
-                h = h * np.uint64(FACTOR) + codes[:, end - 1]
+                h = h[: reach[end]] * np.uint64(FACTOR) + codes[end - 1, : reach[end]]
                 mixed = h * np.uint64(FACTOR)
-                at = self.starts[(mixed >> np.uint64(64 - PREFIX)).astype(np.int64)]
+                bits = (mixed >> np.uint64(64 - PREFIX)).astype(np.int64)
+                hit = np.flatnonzero(self.any[bits])
+                mixed, at = mixed[hit], self.starts[bits[hit]]
                 found = self.hashes[at] == mixed
                 for _ in range(1, self.shared):
-                    after = np.minimum(at + 1, len(self.hashes) - 1)
-                    at = np.where(found, at, after)
+                    at = np.where(found, at, np.minimum(at + 1, len(self.hashes) - 1))
                     found = self.hashes[at] == mixed
+                hit, at = hit[found], at[found]
                 if end == begin + 1:
-                    spelled |= ~found
-                hit = np.flatnonzero(found)
+                    lacks = np.ones(reach[end], bool)
+                    lacks[hit] = False
+                    spelled[: reach[end]] |= lacks
                 if not len(hit):
                     continue
-                at = at[hit]
                 one, two = first[begin, hit] + self.scores[at], second[begin, hit] + self.scores[at]
                 old = first[end, hit]
                 better = one > old
@@ -198,15 +204,16 @@ class Encoder:
                 first[end, hit] = np.where(better, one, old)
                 came[end, hit[better]] = begin
                 by[end, hit[better]] = self.ids[at[better]]
-        reached = np.isfinite(first[size]) & ~spelled
+        whole, runner_up = first[sizes, every], second[sizes, every]
+        reached = np.isfinite(whole) & ~spelled
         out = np.zeros((rows, size), np.int32)
-        place, taken, every = np.where(reached, size, 0), np.zeros(rows, np.int64), np.arange(rows)
+        place, taken = np.where(reached, sizes, 0), np.zeros(rows, np.int64)
         while (going := every[place > 0]).size:
             taken[going] += 1
             out[going, size - taken[going]] = by[place[going], going]
             place[going] = came[place[going], going]
-        raw, score = out.tobytes(), first[size].tolist()
-        loss = (np.where(reached, first[size], 0.0) - second[size]).tolist()
+        raw, score = out.tobytes(), whole.tolist()
+        loss = (np.where(reached, whole, 0.0) - runner_up).tolist()
         alone = []
         for k, (word, ok, n) in enumerate(zip(words, reached.tolist(), taken.tolist(), strict=True)):
             if ok:
@@ -221,36 +228,45 @@ class Encoder:
     def encode(self, text: str) -> tuple[bytes, list[float], list[list[tuple[int, int, tuple[int, ...]]]]]:
         """Ids of the best segmentation (32-bit), scores of the n best, and for each of the n the places where it differs
         from the best: (index of the first id, number of ids replaced, ids instead). A text gets a space in front."""
-        return self.joined(self.split(text))
-
-    def joined(self, parts: list[str]) -> tuple[bytes, list[float], list[list[tuple[int, int, tuple[int, ...]]]]]:
+        return next(self.encode_split([self.split(text)]))
+
+    def encode_split(self, texts: list[list[str]]) -> Iterator[tuple[bytes, list[float], list[list[tuple[int, int, tuple[int, ...]]]]]]:
+        """`encode` of texts split into words. Each word is looked up once for all of them, and its figures lie side by side."""
+        words = list(chain.from_iterable(texts))
+        apart = list(dict.fromkeys(words))
+        self.learn(apart)
+        known = [self.known[w] for w in apart]
+        ids, scores, losses = [k[0] for k in known], np.array([k[1] for k in known]).tolist(), np.array([k[2] for k in known]).tolist()
+        number = dict(zip(apart, range(len(apart)), strict=True))
+        places, begin = list(map(number.__getitem__, words)), 0
+        for parts in texts:
+            mine = places[begin : begin + len(parts)]
+            begin += len(parts)
+            yield self._joined(parts, *[list(map(figure.__getitem__, mine)) for figure in (ids, scores, losses)])
+
+    def _joined(self, parts: list[str], raw: list[bytes], score: list[float], losses: list[float]):
         if not parts:
             return b"", [0.0], [[]]
-        known = self.known
-        if any(w not in known for w in parts):
-            self.learn(set(parts))
-        words = [known[w] for w in parts]
-        ids = b"".join([w[0] for w in words])
-        score = sum([w[1] for w in words])
-        losses = [w[2] for w in words]
+        ids, score = b"".join(raw), sum(score)
         # Only the n - 1 words that lose least can differ in one of the n best.
-        open_words = [k for k in heapq.nsmallest(self.n - 1, range(len(words)), key=losses.__getitem__) if losses[k] < float("inf")]
+        open_words = []
+        while len(open_words) < self.n - 1 and (least := min(losses)) < float("inf"):
+            open_words.append(losses.index(least))
+            losses[open_words[-1]] = float("inf")
         best = {k: self.best(parts[k]) for k in open_words}
         choices = []
         for picks in product(*[range(len(best[k])) for k in open_words]):
             lost = sum(best[k][0][0] - best[k][p][0] for k, p in zip(open_words, picks, strict=True))
             choices.append((lost, picks))
         choices = heapq.nsmallest(self.n, choices)
-        sizes = None
+        at = {k: sum(map(len, raw[:k])) // 4 for k in open_words}
         scores, changes = [], []
         for lost, picks in choices:
             scores.append(score - lost)
             change = []
             for k, p in sorted(zip(open_words, picks, strict=True)):
                 if p:
-                    if sizes is None:
-                        sizes = np.cumsum([0, *(len(w[0]) // 4 for w in words)])
-                    change.append((int(sizes[k]), len(words[k][0]) // 4, best[k][p][1]))
+                    change.append((at[k], len(raw[k]) // 4, best[k][p][1]))
             changes.append(change)
         return ids, scores, changes
 
@@ -288,19 +304,19 @@ def encode_texts(docs: DataFrame, model: str = MODEL, n: int = BEST, id_col: str
         for batch in batches:
             texts = batch.column("text")
             first, held, out = 0, 0, ([], [], [], [])
-            ahead: list[list[str]] = []
+            left = 0
             for k in range(len(texts)):
                 text = texts[k].as_py()
-                if not ahead:  # new words of the texts to come are learnt together
-                    size = 0
+                if not left:  # words of the texts to come are learnt and looked up together
+                    ahead, size = [], 0
                     for j in range(k, len(texts)):
                         ahead.append(encoder.split(texts[j].as_py() or ""))
                         size += len(ahead[-1])
                         if size > TOGETHER:
                             break
-                    encoder.learn(set().union(*ahead))
-                    ahead.reverse()
-                ids, scores, changes = encoder.joined(ahead.pop())
+                    encoded, left = encoder.encode_split(ahead), len(ahead)
+                ids, scores, changes = next(encoded)
+                left -= 1
                 ints = np.frombuffer(ids, np.int32)
                 whole = b"".join(map(spelled.__getitem__, ints.tolist())) == (b" " + text.encode() if text else b"")
                 out[0].append(ints)

@@ -319,3 +319,25 @@ def test_pieces_of_odd_rows(docs_of, odd):
     by_id = {r.doc_id: r for r in got}
     assert by_id[1].ids is None and by_id[2].ids == [] and by_id[2].scores == [0.0]
     assert pieces.encode_texts(docs_of([])).count() == 0
+
+
+def test_words_of_all_lengths_are_learnt_side_by_side(vocabulary, monkeypatch):
+    """A round of array steps for each length cost more than the steps themselves, as few words are long."""
+    rounds, together = [], pieces.Encoder._together
+    monkeypatch.setattr(pieces.Encoder, "_together", lambda self, words, *size: rounds.append(len(words)) or together(self, words, *size))
+    text = "worthlessness understanding x\t日本 é▁x a\0b "
+    words = {" " + (text * 3)[k : k + size].replace(" ", "").replace("\n", "") for size in range(1, 40) for k in range(0, 60, 7)}
+    encoder = pieces.Encoder(vocabulary)
+    encoder.learn(words)
+    assert len(rounds) == 1 and rounds[0] > 100
+    for word in words:
+        (score, ids), second = pieces.n_best(word, vocabulary, 2)
+        raw, learnt, loss = encoder.known[word]
+        assert memoryview(raw).cast("i").tolist() == list(ids)
+        assert abs(learnt - score) < 1e-9 and abs(loss - (score - second[0])) < 1e-9
+
+
+def test_texts_split_together_encode_as_each_alone(vocabulary):
+    texts = ["the cat sat on the mat", "", "a ▁ b  c\n\n\td é 日本", "x" * 500, "the cat", " "]
+    encoder = pieces.Encoder(vocabulary, 3, kept=4)  # the table starts anew with each text
+    assert list(encoder.encode_split([encoder.split(t) for t in texts])) == [encoder.encode(t) for t in texts]

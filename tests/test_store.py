@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import random
+import time
 from dataclasses import replace
 
 import pytest
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 
 from shelfstar.operators.upsert import absent, absent_per_key, absent_within, one_per_key
 from shelfstar.plans.facts import FACT_KEYS
+from shelfstar.session import shared_folder, use_settings
 from shelfstar.sources.commerce import ByOrder, Commerce
 from shelfstar.sources.store import MONTH, Store
 from tests.conftest import rows
@@ -125,6 +128,38 @@ def test_a_batch_is_compared_in_one_shuffle(spark):
     assert plan_of(absent_per_key(batch, target, ["k"])).count("Exchange hashpartitioning") == 1
 
 
+def files_of(folder):
+    return [os.path.join(d, f) for d, _, files in os.walk(folder) for f in files]
+
+
+def test_what_a_load_staged_is_gone(spark, store, sources):  # noqa: F811
+    folder = shared_folder(spark)
+    before = {d for d in os.listdir(folder) if d.startswith("staged-")}
+    assert store.load(later(sources), "2021-12-01", "2022-01-31", AS_OF, SINCE).count() == 8
+    assert {d for d in os.listdir(folder) if d.startswith("staged-")} == before
+    assert store.rejects().count() == 4 and store.fact("fact_borrowing").count() == 3
+
+
+def test_tables_by_order_can_be_given_up(spark):
+    laid_out = ByOrder(Commerce(spark, "/root/testdata/sf0.001"))
+    laid_out.drop()
+    for name in laid_out.names.values():
+        assert not spark.catalog.tableExists(name) and not os.path.exists(f"{shared_folder(spark)}/{name}")
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    use_settings(spark)
+    folder = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0]
+    shuffled = lambda: {f for f in files_of(folder) if os.path.basename(f).startswith("shuffle_")}
+    before = shuffled()
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert df.count() == 7 and len(df.collect()) == 7 and len(df.collect()) == 7
+    deadline = time.time() + 20
+    while shuffled() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffled() - before
+
+
 def test_lines_and_orders_by_order_join_in_place(spark):
     src = Commerce(spark, "/root/testdata/sf0.001")
     laid_out = ByOrder(src)

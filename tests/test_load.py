@@ -121,3 +121,11 @@ def test_stream_adds_every_key_once(spark, tmp_path):
         stream = spark.readStream.schema(schema).parquet(inbox)
         append_new_rows(stream, path, ["k"], mark).awaitTermination()
     assert rows(tables.read_table(spark, path, schema)) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_tables_are_counted_one_after_another(spark, star, monkeypatch):
+    """No plan holds the joins of several facts, so the driver holds the broadcasts of one fact at a time."""
+    want = {n: df.count() for n, df in star.tables().items()}
+    unions = []
+    monkeypatch.setattr(type(star.dim_date), "unionByName", lambda *a, **b: unions.append(a))
+    assert dict(rows(row_counts(star))) == want and not unions

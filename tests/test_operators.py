@@ -10,12 +10,12 @@ from pyspark.sql import Window as W, functions as F
 from shelfstar.operators import calendar
 from shelfstar.operators.active import active_at
 from shelfstar.operators.asof import CHUNK, asof_lookup, deal, version_spans
-from shelfstar.operators.lookup import attach, sum_by_attribute
+from shelfstar.operators.lookup import attach, attach_folded, merged_if_large, sum_by_attribute
 from shelfstar.operators.profile import range_profile, value_profile
 from shelfstar.operators.split import neighbour, running
 from shelfstar.operators.surrogate import assign_keys
 from shelfstar.operators.totals import with_totals
-from shelfstar.operators.upsert import delete_children, insert_absent, set_where_in, update_from
+from shelfstar.operators.upsert import absent, delete_children, insert_absent, set_where_in, update_from
 from shelfstar.operators.windows import leaders, top_rows
 from tests.conftest import rows
 
@@ -182,3 +182,17 @@ def test_profiles(spark):
     assert [(r.s, r.cnt, str(r.pct)) for r in value_profile(df, "s").orderBy("s").collect()] == [("a", 2, "66.67"), ("b", 1, "33.33")]
     r = range_profile(df, "v").first()
     assert (r.rows, r.min_value, r.max_value, str(r.avg_value)) == (3, 1, 4, "2.33")
+
+
+def test_large_lookup_with_small_file_is_not_broadcast(spark, tmp_path):
+    """Spark goes by the bytes of a file; the ids of a compressed table of millions of rows look small by that."""
+    spark.range(100).write.parquet(str(tmp_path / "ids"))
+    ids, fact = spark.read.parquet(str(tmp_path / "ids")), spark.range(0, 1000, 3)
+    plan = lambda df: (df.collect(), df._jdf.queryExecution().executedPlan().toString())[1]
+    assert "BroadcastHashJoin" in plan(fact.join(ids, "id")) and "BroadcastHashJoin" in plan(attach(fact, ids, "id"))
+    joined = attach(fact, ids, "id", bound=99)
+    missing = absent(fact, merged_if_large(ids, 99), ["id"])
+    folded = attach_folded(fact.withColumn("n", F.lit(1)), ids, "id", [], ["n"], bound=99)
+    for df, n in ((joined, 34), (missing, 300), (folded, 34)):
+        assert "BroadcastHashJoin" not in plan(df) and df.count() == n
+    assert merged_if_large(ids, 100) is ids

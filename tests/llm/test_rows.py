@@ -230,6 +230,25 @@ def test_long_runs_and_words_are_read_whole():
     assert pii.islands("a." * 80 + "@b.org") == [(60, 166, False)]
 
 
+def test_lists_of_phones_are_found_whatever_their_length():
+    """Phones of digits only side by side, seven and seventy; numbers that are not written alike are none in a long run."""
+    weights, follow = np.zeros((pii.N_FEATURES, pii.OTHER + 1)), np.zeros((pii.OTHER + 1, pii.OTHER + 1))
+    weights[0, : pii.OTHER], weights[11, pii.KINDS.index("phone")] = -4.0, 9.0
+    phones = pii.Field(weights, follow)
+    for n in (7, 8, 70, 700):
+        text = " ".join(f"{2000000000 + 7919 * k}" for k in range(n))
+        assert pii.base_spans(text) == []
+        assert pii.find_spans(text, phones)[1] == [(11 * k, "phone", 11 * k + 10) for k in range(n)]
+        assert pii.find_spans(f"{text} 77", phones)[1] == []
+    mixed = " ".join(f"{2000000000 + k}" if k % 2 else f"{20000 + k} {30000 + k}" for k in range(40))
+    assert pii.find_spans(mixed, phones)[1] == []
+
+
+def test_tables_of_numbers_of_one_length_hold_no_phones(own_field):
+    for text in (" ".join(str(1990 + k % 30) for k in range(900)), " ".join(str(349523 + 7919 * k % 600000) for k in range(900))):
+        assert pii.find_spans(text, own_field)[1] == pii.base_spans(text)
+
+
 def test_very_long_texts_are_read_in_time(own_field):
     rng = random.Random(8)
     numbers = " ".join(str(rng.randint(0, 10**6)) for _ in range(500_000))
